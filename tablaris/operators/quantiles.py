@@ -84,6 +84,7 @@ def _any(tests: Sequence[Column]) -> Column:
 def _survey(df: DataFrame, parts: Sequence[_Search]) -> list[tuple[int, int, list]]:
     """Per part: rows, rows that are not NaN, and evenly spaced sketch quantiles."""
     sketches, merged = [], []
+    grid = F.lit([g / SKETCH_GRID for g in range(SKETCH_GRID + 1)])
     for i, part in enumerate(parts):
         col = F.col(part.column)
         if _is_integral(df, part.column):
@@ -100,7 +101,6 @@ def _survey(df: DataFrame, parts: Sequence[_Search]) -> list[tuple[int, int, lis
             F.count_if(part.inside()).alias(f"n{i}"),
         ]
         whole = merge(F.col(f"s{i}"), size)
-        grid = F.transform(F.sequence(F.lit(0), F.lit(SKETCH_GRID)), lambda g: g / SKETCH_GRID)
         merged += [
             F.sum(f"n{i}").alias(f"n{i}"),
             number(whole).alias(f"m{i}"),
