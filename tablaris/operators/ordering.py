@@ -94,13 +94,17 @@ def neighbours(
     sliced = sizes.largest > window_rows
     if sliced:
         df = _slices(df, group_by, order_by, sizes.rows, window_rows)
-    window = Window.partitionBy(*group_by, *([_SLICE] if sliced else [])).orderBy(*order_by)
-    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    part = Window.partitionBy(*group_by, *([_SLICE] if sliced else []))
+    upto = part.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A frame reaching to the end of the partition is evaluated anew for every
+    # row, in quadratic time. The same rows in descending order take one pass.
+    onward = part.orderBy(*[F.desc(c) for c in order_by]).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     seen = df.select(
         "*",
         *[F.last(c, ignorenulls=True).over(upto).alias(f"_prev_{c}") for c in columns],
-        *[F.first(c, ignorenulls=True).over(onward).alias(f"_next_{c}") for c in columns],
+        *[F.last(c, ignorenulls=True).over(onward).alias(f"_next_{c}") for c in columns],
     )
     if not sliced:
         return seen
@@ -111,14 +115,14 @@ def neighbours(
         *[F.max_by(c, known[c]).alias(f"_last_{c}") for c in columns],
         *[F.min_by(c, known[c]).alias(f"_first_{c}") for c in columns],
     )
-    across = Window.partitionBy(*group_by).orderBy(_SLICE)
-    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    later = across.rowsBetween(1, Window.unboundedFollowing)
+    across = Window.partitionBy(*group_by)
+    earlier = across.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    later = across.orderBy(F.desc(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     carry = _spanning(edges, group_by).select(
         *group_by,
         _SLICE,
         *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in columns],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_after_{c}") for c in columns],
+        *[F.last(f"_first_{c}", ignorenulls=True).over(later).alias(f"_after_{c}") for c in columns],
     )
     joined = _attach(seen, carry, group_by)
     kept = [c for c in df.columns if c != _SLICE]
