@@ -63,7 +63,11 @@ def conform(df: DataFrame, spec: CleanSpec, headers: Iterable[str] | None = None
 
 
 def apply_types(df: DataFrame, spec: CleanSpec) -> DataFrame:
-    """Conformed text to the declared types; unreadable values become NULL."""
+    """Conformed text to the declared types; unreadable values become NULL.
+
+    Typed rows leave through ``inline``: a filter on them is not pushed below
+    it, where every rule would parse its text anew.
+    """
     parsers = {"int": parse_int, "double": parse_double}
     typed = [
         parsers[f.kind](F.col(f.name), f.decimal_comma).alias(f.name)
@@ -71,7 +75,8 @@ def apply_types(df: DataFrame, spec: CleanSpec) -> DataFrame:
         else F.col(f.name)
         for f in spec.fields
     ]
-    return df.select(*typed, *[c for c in df.columns if c not in spec.names])
+    others = [c for c in df.columns if c not in spec.names]
+    return df.select(F.inline(F.array(F.struct(*typed, *others))))
 
 
 def required_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:

@@ -180,16 +180,14 @@ def cut_by_rank(
     value are ranked by the remaining columns.
     """
     lead, *rest = order_by
-    wanted: list[int] = []
 
-    def remember(n: int) -> Sequence[int]:
+    def inside(n: int) -> list[int]:
         # Rank 0 cuts before everything and rank n after: neither needs a value.
-        wanted.extend(ranks(n))
-        return [r for r in wanted if 0 < r < n]
+        return [r for r in ranks(n) if 0 < r < n]
 
-    n, stats = order_statistics(df, {lead: remember}, rank_rows)[lead]
-    inner = [r for r in wanted if 0 < r < n]
-    always = sum(r <= 0 for r in wanted)
+    n, stats = order_statistics(df, {lead: inside}, rank_rows)[lead]
+    inner = inside(n)
+    always = sum(r <= 0 for r in ranks(n))
     cuts = list(zip(inner, stats))
     shared = {s.value: s.equal for r, s in cuts if s.below + s.equal != r}
     if shared and not rest:

@@ -4,8 +4,8 @@
 so that no task takes in more than a few hundred of them, proposes two pivots
 around each wanted rank; one aggregate counts the rows below, between and on
 the pivots; the search goes on in the part that holds the rank. Once a part is
-small, its values are grouped and ranked exactly. The pivots only steer: the
-counts decide, so the answer does not depend on the sketch's accuracy.
+small, its values are sorted in one place. The pivots only steer: the counts
+decide, so the answer does not depend on the sketch's accuracy.
 """
 
 from __future__ import annotations
@@ -17,15 +17,19 @@ from fractions import Fraction
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A part with at most this many rows is ranked directly, in one window.
+# A part with at most this many rows is sorted directly, as one array.
 RANK_ROWS = 100_000
 SKETCH_SIZE = 4096
-SKETCH_GRID = 1000
 SKETCH_FAN_IN = 256
+# How far, as a share of the rows, the pivots stand from the wanted rank: a few
+# times the error of a sketch of this size.
+PIVOT_REACH = 0.002
+# Stand-in for a row count not known yet when a rank is turned into a share.
+NOTIONAL_ROWS = 1_000_000_000
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -41,7 +45,10 @@ class OrderStatistic:
 
 @dataclass
 class _Search:
-    """One wanted rank and the open interval still holding it."""
+    """One wanted rank and the open interval ``(low, high)`` still holding it.
+
+    ``rows`` lie in the interval and ``below`` on its left, ``low`` included.
+    """
 
     column: str
     rank: int
@@ -51,6 +58,11 @@ class _Search:
     below: int = 0
     found: OrderStatistic | None = None
 
+    @property
+    def share(self) -> float:
+        """Where the rank lies within the part's rows, from 0 to 1."""
+        return (self.rank - self.below) / max(1, self.rows)
+
     @property
     def part(self) -> tuple[str, Any, Any]:
         return self.column, self.low, self.high
@@ -64,13 +76,6 @@ class _Search:
             test &= col < self.high
         return test
 
-    def settle(self, value: Any, below: int, equal: int) -> None:
-        self.found = OrderStatistic(value, self.below + below, equal)
-
-    def narrow(self, low: Any, high: Any, below: int, rows: int) -> None:
-        self.low, self.high = low, high
-        self.below += below
-        self.rows = rows
 
 
 def _is_integral(df: DataFrame, column: str) -> bool:
@@ -81,115 +86,99 @@ def _any(tests: Sequence[Column]) -> Column:
     return reduce(Column.__or__, tests)
 
 
-def _survey(df: DataFrame, parts: Sequence[_Search]) -> list[tuple[int, int, list]]:
-    """Per part: rows, rows that are not NaN, and evenly spaced sketch quantiles."""
-    sketches, merged = [], []
-    grid = F.lit([g / SKETCH_GRID for g in range(SKETCH_GRID + 1)])
-    for i, part in enumerate(parts):
-        col = F.col(part.column)
-        if _is_integral(df, part.column):
-            make, merge = F.kll_sketch_agg_bigint, F.kll_merge_agg_bigint
-            number, quantile = F.kll_sketch_get_n_bigint, F.kll_sketch_get_quantile_bigint
-            value = F.when(part.inside(), col.cast("long"))
+def _survey(df: DataFrame, searches: Sequence[_Search]) -> list[tuple[int, int, Any, Any]]:
+    """Per search: rows of its part, rows that are not NaN, and two pivots.
+
+    Parts shared by several searches are sketched once.
+    """
+    parts = {s.part: s for s in searches}
+    name = {part: f"s{i}" for i, part in enumerate(parts)}
+    size = F.lit(SKETCH_SIZE)
+    sketches = []
+    for part, s in parts.items():
+        col = F.col(s.column)
+        if _is_integral(df, s.column):
+            sketch = F.kll_sketch_agg_bigint(F.when(s.inside(), col.cast("long")), size)
         else:
-            make, merge = F.kll_sketch_agg_double, F.kll_merge_agg_double
-            number, quantile = F.kll_sketch_get_n_double, F.kll_sketch_get_quantile_double
-            value = F.when(part.inside() & ~F.isnan(col), col.cast("double"))
-        size = F.lit(SKETCH_SIZE)
-        sketches += [
-            make(value, size).alias(f"s{i}"),
-            F.count_if(part.inside()).alias(f"n{i}"),
-        ]
-        whole = merge(F.col(f"s{i}"), size)
-        merged += [
-            F.sum(f"n{i}").alias(f"n{i}"),
-            number(whole).alias(f"m{i}"),
-            F.when(number(whole) > 0, quantile(whole, grid)).alias(f"q{i}"),
-        ]
+            sane = s.inside() & ~F.isnan(col)
+            sketch = F.kll_sketch_agg_double(F.when(sane, col.cast("double")), size)
+        sketches += [sketch.alias(name[part]), F.count_if(s.inside()).alias(f"n_{name[part]}")]
+
+    merged = []
+    for i, s in enumerate(searches):
+        whole = _is_integral(df, s.column)
+        merge = F.kll_merge_agg_bigint if whole else F.kll_merge_agg_double
+        number = F.kll_sketch_get_n_bigint if whole else F.kll_sketch_get_n_double
+        quantile = F.kll_sketch_get_quantile_bigint if whole else F.kll_sketch_get_quantile_double
+        sketch = merge(F.col(name[s.part]), size)
+        around = [max(0.0, s.share - PIVOT_REACH), min(1.0, s.share + PIVOT_REACH)]
+        merged.append(
+            F.struct(
+                F.coalesce(F.sum(f"n_{name[s.part]}"), F.lit(0)),
+                F.coalesce(number(sketch), F.lit(0)),
+                F.when(number(sketch) > 0, quantile(sketch, F.lit(around))),
+            ).alias(f"r{i}")
+        )
     fan = F.pmod(F.spark_partition_id(), F.lit(SKETCH_FAN_IN)).alias("_fan")
     row = df.groupBy(fan).agg(*sketches).agg(*merged).first()
-    return [
-        (row[f"n{i}"] or 0, row[f"m{i}"] or 0, row[f"q{i}"] or []) for i in range(len(parts))
-    ]
-
-
-def _pivots(search: _Search, sane: int, grid: list) -> tuple[Any, Any]:
-    """Sketch quantiles one grid step either side of the wanted rank."""
-    at = (search.rank - search.below) / sane * SKETCH_GRID
-    low = grid[max(0, math.floor(at) - 1)]
-    high = grid[min(SKETCH_GRID, math.ceil(at) + 1)]
-    return low, high
+    return [(n, sane, *(pivots or (None, None))) for n, sane, pivots in row]
 
 
 def _count_around(df: DataFrame, pivots: Sequence[tuple[_Search, Any, Any]]) -> list[tuple]:
-    """Per search: rows below, on, between, on and above its two pivots."""
-    counts = []
-    for i, (search, low, high) in enumerate(pivots):
-        col, inside = F.col(search.column), search.inside()
-        counts += [
-            F.count_if(inside & (col < low)).alias(f"a{i}"),
-            F.count_if(inside & (col == low)).alias(f"b{i}"),
-            F.count_if(inside & (col > low) & (col < high)).alias(f"c{i}"),
-            F.count_if(inside & (col == high) & F.lit(high != low)).alias(f"d{i}"),
-        ]
-    row = df.where(_any([s.inside() for s, _, _ in pivots])).agg(*counts).first()
-    return [tuple(row[f"{x}{i}"] for x in "abcd") for i in range(len(pivots))]
+    """Per search: rows of its column below, up to each of the two pivots."""
+    tests: dict[tuple, str] = {}
+    for s, low, high in pivots:
+        for pivot in (low, high):
+            for strict in (True, False):
+                tests.setdefault((s.column, pivot, strict), f"t{len(tests)}")
+    counts = [
+        F.count_if(F.col(c) < pivot if strict else F.col(c) <= pivot).alias(name)
+        for (c, pivot, strict), name in tests.items()
+    ]
+    row = df.agg(*counts).first()
+    return [
+        tuple(row[tests[s.column, p, strict]] for p in (low, high) for strict in (True, False))
+        for s, low, high in pivots
+    ]
 
 
 def _advance(search: _Search, low: Any, high: Any, counts: tuple) -> None:
-    a, b, c, d = counts
-    k = search.rank - search.below
-    if k <= a:
-        search.narrow(search.low, low, 0, a)
-    elif k <= a + b:
-        search.settle(low, a, b)
-    elif k <= a + b + c:
-        search.narrow(low, high, a + b, c)
-    elif k <= a + b + c + d:
-        search.settle(high, a + b + c, d)
+    """Settle the search on a pivot or move it to the part between the right two."""
+    under_low, upto_low, under_high, upto_high = counts
+    if search.rank <= under_low:
+        search.high, search.rows = low, under_low - search.below
+    elif search.rank <= upto_low:
+        search.found = OrderStatistic(low, under_low, upto_low - under_low)
+    elif search.rank <= under_high:
+        search.low, search.high = low, high
+        search.below, search.rows = upto_low, under_high - upto_low
+    elif search.rank <= upto_high:
+        search.found = OrderStatistic(high, under_high, upto_high - under_high)
     else:
-        search.narrow(high, search.high, a + b + c + d, search.rows - (a + b + c + d))
+        search.rows -= upto_high - search.below
+        search.low, search.below = high, upto_high
 
 
 def _rank_directly(df: DataFrame, searches: Sequence[_Search]) -> None:
-    """Group the values of each small part and read off the wanted ranks."""
+    """Sort the values of each part, known to be few, and read off the ranks."""
     parts = {s.part: s for s in searches}
-    number = {part: i for i, part in enumerate(parts)}
-    items = []
-    for part, s in parts.items():
-        whole = _is_integral(df, s.column)
-        col = F.col(s.column)
-        items.append(
-            F.when(
-                s.inside(),
-                F.struct(
-                    F.lit(number[part]).alias("part"),
-                    (F.lit(None) if whole else col).cast("double").alias("real"),
-                    (col if whole else F.lit(None)).cast("long").alias("whole"),
-                ),
-            )
-        )
-    window = Window.partitionBy("part").orderBy("real", "whole")
-    ranked = (
-        df.where(_any([s.inside() for s in parts.values()]))
-        .select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("v"))
-        .groupBy("v.part", "v.real", "v.whole")
-        .agg(F.count(F.lit(1)).alias("equal"))
-        .withColumn("upto", F.sum("equal").over(window))
-    )
-    wanted = [
-        (F.col("part") == number[s.part])
-        & (F.col("upto") >= s.rank - s.below)
-        & (F.col("upto") - F.col("equal") < s.rank - s.below)
-        for s in searches
+    name = {part: f"v{i}" for i, part in enumerate(parts)}
+    values = [
+        F.array_sort(F.collect_list(F.when(s.inside(), F.col(s.column)))).alias(name[part])
+        for part, s in parts.items()
     ]
-    # At most one row per wanted rank comes back.
-    for row in ranked.where(_any(wanted)).collect():
-        for s in searches:
-            k = s.rank - s.below
-            if number[s.part] == row["part"] and row["upto"] - row["equal"] < k <= row["upto"]:
-                value = row["whole"] if row["real"] is None else row["real"]
-                s.settle(value, row["upto"] - row["equal"], row["equal"])
+    lists = df.where(_any([s.inside() for s in parts.values()])).agg(*values)
+
+    def statistic(s: _Search) -> Column:
+        kept = F.col(name[s.part])
+        value = F.element_at(kept, F.lit(s.rank - s.below))
+        below = F.array_position(kept, value) - 1
+        equal = F.size(F.filter(kept, lambda v: v == value))
+        return F.struct(value, below, equal)
+
+    found = lists.select(*[statistic(s).alias(f"r{i}") for i, s in enumerate(searches)]).first()
+    for s, (value, below, equal) in zip(searches, found):
+        s.found = OrderStatistic(value, s.below + below, equal)
 
 
 def order_statistics(
@@ -203,45 +192,49 @@ def order_statistics(
     that count and one statistic per rank. NaN sorts above everything. Runs a
     few aggregate jobs that share passes across all columns and ranks.
     """
-    starts = [_Search(column, 0, 0) for column in ranks]
-    surveyed = _survey(df, starts)
-    sizes = {s.column: rows for s, (rows, _, _) in zip(starts, surveyed)}
-    searches = [
-        _Search(column, rank, sizes[column])
-        for column, rank_of in ranks.items()
-        if sizes[column]
-        for rank in rank_of(sizes[column])
-    ]
-    for s in searches:
-        if not 1 <= s.rank <= s.rows:
-            raise ValueError(f"rank {s.rank} outside 1..{s.rows} for {s.column}")
-    known = {s.part: found for s, found in zip(starts, surveyed)}
+    # The first survey runs before any row count is known: ranks are taken as
+    # shares of a notional table, which is all the sketch is asked for.
+    trial = {
+        c: [_Search(c, r, NOTIONAL_ROWS) for r in of(NOTIONAL_ROWS) or [NOTIONAL_ROWS // 2]]
+        for c, of in ranks.items()
+    }
+    seen = iter(_survey(df, [s for part in trial.values() for s in part]))
+    guesses = {c: [next(seen) for _ in part] for c, part in trial.items()}
+    sizes = {c: found[0][0] for c, found in guesses.items()}
+    wanted = {c: list(of(sizes[c])) if sizes[c] else [] for c, of in ranks.items()}
+    searches: dict[tuple[str, int], _Search] = {}
+    waiting = []
+    for column, found in wanted.items():
+        for i, rank in enumerate(found):
+            if not 1 <= rank <= sizes[column]:
+                raise ValueError(f"rank {rank} outside 1..{sizes[column]} for {column}")
+            if (column, rank) not in searches:
+                search = searches[column, rank] = _Search(column, rank, sizes[column])
+                guess = guesses[column][min(i, len(guesses[column]) - 1)]
+                waiting.append((search, guess))
 
-    open_searches = searches
     while True:
-        large = [s for s in open_searches if s.rows > rank_rows]
-        if not large:
-            break
-        unseen = {s.part: s for s in large if s.part not in known}
-        if unseen:
-            known.update(zip(unseen, _survey(df, list(unseen.values()))))
         pivots = []
-        for s in large:
-            rows, sane, grid = known[s.part]
+        for s, (rows, sane, low, high) in waiting:
+            if s.rows <= rank_rows:
+                continue
             if s.rank - s.below > sane:
-                s.settle(math.nan, sane, rows - sane)
+                s.found = OrderStatistic(math.nan, s.below + sane, rows - sane)
             else:
-                pivots.append((s, *_pivots(s, sane, grid)))
-        if pivots:
-            for (s, low, high), counts in zip(pivots, _count_around(df, pivots)):
-                _advance(s, low, high, counts)
-        open_searches = [s for s in open_searches if s.found is None]
+                pivots.append((s, low, high))
+        if not pivots:
+            break
+        for (s, low, high), counts in zip(pivots, _count_around(df, pivots)):
+            _advance(s, low, high, counts)
+        large = [s for s, _ in waiting if s.found is None and s.rows > rank_rows]
+        waiting = list(zip(large, _survey(df, large))) if large else []
 
+    open_searches = [s for s in searches.values() if s.found is None]
     if open_searches:
         _rank_directly(df, open_searches)
     return {
-        column: (sizes[column], [s.found for s in searches if s.column == column])
-        for column in ranks
+        column: (sizes[column], [searches[column, rank].found for rank in found])
+        for column, found in wanted.items()
     }
 
 
