@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from tablaris.plans.clean import clean_csv
 from tablaris.plans.presets import SPECS
+from tablaris.sources.staging import discard_staged
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -19,8 +20,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--single-csv", action="store_true")
     parser.add_argument("--quantiles", choices=["exact", "approx"], default="exact")
     args = parser.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
     clean_csv(
-        SparkSession.builder.getOrCreate(),
+        spark,
         args.input,
         args.output,
         args.report,
@@ -28,6 +30,7 @@ def main(argv: list[str] | None = None) -> None:
         args.single_csv,
         args.quantiles,
     )
+    discard_staged(spark)
 
 
 if __name__ == "__main__":

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from tablaris.plans.train import train
 from tablaris.sources.models import save_models
+from tablaris.sources.staging import discard_staged
 from tablaris.sources.tables import write_parquet
 
 
@@ -33,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     save_models(spark, [report.model], args.model_out)
     write_parquet(report.summary(spark).coalesce(1), args.summary_out)
+    discard_staged(spark)
 
 
 if __name__ == "__main__":

@@ -297,10 +297,14 @@ def interpolated_quantiles(
 
 
 def quantile_table(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], mode: str = "exact"
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    mode: str = "exact",
+    rank_rows: int = RANK_ROWS,
 ) -> DataFrame:
     """One row per column and probability."""
-    found = quantiles(df, columns, probabilities, mode)
+    found = quantiles(df, columns, probabilities, mode, rank_rows=rank_rows)
     rows = [
         (c, float(p), None if v is None else float(v))
         for c in columns

@@ -117,12 +117,21 @@ def clean(
 
     fences = iqr_fences(whole, spec.cap, quantile_mode, spec.fence)
     capped = winsorize(whole, fences, labels.outlier)
-    data = final_projection(capped, spec, _flags(spec))
-    if spec.sort_by:
-        data = data.orderBy(*spec.sort_by)
+    data = in_order(final_projection(capped, spec, _flags(spec)), spec)
     return CleanResult(data, spec, typed, rows, (low, high), inserted, fences)
 
 
+def in_order(data: DataFrame, spec: CleanSpec) -> DataFrame:
+    """Sorted as the spec asks, ties by the other columns.
+
+    A range partition takes all rows of one sort key; with the rest of the row
+    in the key, rows that share a frequent value still spread over tasks.
+    """
+    if not spec.sort_by:
+        return data
+    return data.orderBy(*spec.sort_by, *[c for c in data.columns if c not in spec.sort_by])
+
+
 def _flags(spec: CleanSpec) -> list[str]:
     labels = spec.labels
     return [
@@ -197,13 +206,15 @@ def clean_csv(
     single_csv: bool = False,
     quantile_mode: str = "exact",
 ) -> CleanResult:
-    """CSV in; ``parquet`` and ``csv`` folders and a JSON report out."""
+    """CSV in; ``parquet`` and ``csv`` folders and a JSON report out.
+
+    Returns the result with ``data`` read from the Parquet sink.
+    """
     raw, header = scan_csv(spark, input_path)
     result = clean(raw, spec, header, quantile_mode)
     write_parquet(result.data, f"{output_dir}/parquet")
     written = read_parquet(spark, f"{output_dir}/parquet")
-    ordered = written.orderBy(*spec.sort_by) if spec.sort_by else written
-    write_csv(ordered, f"{output_dir}/csv", single_csv)
+    write_csv(in_order(written, spec), f"{output_dir}/csv", single_csv)
     paths = [
         F.lit(value).alias(name)
         for name, value in (
@@ -213,4 +224,4 @@ def clean_csv(
         )
     ]
     write_report(result.report(written).select("*", *paths), report_path)
-    return result
+    return replace(result, data=in_order(written, spec))

@@ -28,8 +28,27 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+_staged: list[str] = []
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/tablaris/{label}-{uuid.uuid4().hex}"
+    """A fresh folder, remembered for :func:`discard_staged`."""
+    path = f"{staging_root(spark)}/tablaris/{label}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
+def discard_staged(spark: SparkSession) -> None:
+    """Delete what this process has staged so far.
+
+    For the end of a job, when its results are in their sinks: lazy frames that
+    read a staged table cannot be used afterwards.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    while _staged:
+        path = hadoop.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -8,6 +8,7 @@ from tablaris.jobs import train as train_job
 from tablaris.plans.clean import clean
 from tablaris.plans.presets import DOLLAR, ENERGY, GLUCOSE
 from tablaris.sources.models import load_models
+from tablaris.sources.staging import discard_staged, stage, staging_root
 
 DAYS = """ Día ,Inflación,TASA de  interés,Precio del dólar!,extra
 1,"0,01",5.0,4000,x
@@ -143,3 +144,14 @@ def test_training_job(spark, tmp_path):
     model = load_models(spark, str(tmp_path / "m"))["m"]
     assert model.coefficients == pytest.approx((3, -1))
     assert spark.read.parquet(str(tmp_path / "s")).where("metric = 'r2'").first()["value"] == pytest.approx(1)
+
+
+def test_staged_tables_are_discarded_on_request(spark):
+    staged = stage(spark.range(10), "trial")
+    path = staged.inputFiles()[0].rsplit("/", 1)[0]
+    assert staging_root(spark).removeprefix("file:") in path
+    assert staged.count() == 10
+    discard_staged(spark)
+    fs = spark._jvm.org.apache.hadoop.fs
+    folder = fs.Path(path)
+    assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

@@ -270,7 +270,7 @@ def impute_global(spark: SparkSession, data: str) -> DataFrame:
     return rounded(impute(dense, ["total"], ["day"]), "total")
 
 
-def impute_grouped(spark: SparkSession, data: str) -> DataFrame:
+def impute_lines(spark: SparkSession, data: str, window_rows: int) -> DataFrame:
     """Gaps inside three large groups; one group has no tax at all."""
     key, flag = F.col("l_orderkey"), F.col("l_returnflag")
     lines = table(spark, data, "lineitem").select(
@@ -279,13 +279,24 @@ def impute_grouped(spark: SparkSession, data: str) -> DataFrame:
         F.when(key % 7 != 0, F.col("l_discount")).alias("discount"),
         F.when((flag != "A") & (key % 11 != 0), F.col("l_tax")).alias("tax"),
     )
-    filled = impute(lines, ["discount", "tax"], LINE_KEY, ["l_returnflag"])
+    filled = impute(
+        lines, ["discount", "tax"], LINE_KEY, ["l_returnflag"], window_rows=window_rows
+    )
     kept = ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "discount", "tax"]
     return rounded(
         filled.select(*kept, "imputed_discount", "imputed_tax"), "discount", "tax", digits=6
     )
 
 
+def impute_grouped(spark: SparkSession, data: str) -> DataFrame:
+    return impute_lines(spark, data, ordering.WINDOW_ROWS)
+
+
+def impute_grouped_sliced(spark: SparkSession, data: str) -> DataFrame:
+    """The same with groups cut into slices, as happens to large ones."""
+    return impute_lines(spark, data, 10_000)
+
+
 # Quantiles and outliers
 
 
@@ -298,6 +309,12 @@ def quartiles_exact(spark: SparkSession, data: str) -> DataFrame:
     )
 
 
+def quartiles_narrowed(spark: SparkSession, data: str) -> DataFrame:
+    """The same selection, made to narrow as often as on a table of any size."""
+    lines, shares = table(spark, data, "lineitem"), [0.25, 0.5, 0.75]
+    return quantiles.quantile_table(lines, QUANTILE_COLUMNS, shares, rank_rows=20)
+
+
 def median_exact(spark: SparkSession, data: str) -> DataFrame:
     return quantiles.quantile_table(table(spark, data, "orders"), ["o_totalprice"], [0.5])
 
@@ -618,7 +635,9 @@ QUERIES: dict[str, Query] = {
     "carry_forward_backward": carry_forward_backward,
     "impute_global": impute_global,
     "impute_grouped": impute_grouped,
+    "impute_grouped_sliced": impute_grouped_sliced,
     "quartiles_exact": quartiles_exact,
+    "quartiles_narrowed": quartiles_narrowed,
     "median_exact": median_exact,
     "quartiles_approx": quartiles_approx,
     "iqr_bounds": iqr_bounds,
