@@ -17,11 +17,10 @@ THRESHOLD_DIGITS = 8
 RANK_DIGITS = 15
 
 
-def key_hash(keys: Sequence[str | Column], seed: int, digits: int) -> Column:
-    """Leading hex digits of md5 over ``key:...:seed``, as a number."""
-    text = F.concat_ws(":", *[F.col(k).cast("string") if isinstance(k, str) else k for k in keys])
-    digest = F.md5(F.concat(text, F.lit(f":{seed}")).cast("binary"))
-    return F.conv(F.substring(digest, 1, digits), 16, 10).cast("long")
+def key_hash(keys: Sequence[str], seed: int, digits: int) -> Column:
+    """Leading hex digits of md5 over ``key:...:seed``; text order is number order."""
+    parts = [F.col(k).cast("string") for k in keys]
+    return F.substring(F.md5(F.concat_ws(":", *parts, F.lit(str(seed))).cast("binary")), 1, digits)
 
 
 def train_test_split(
@@ -40,10 +39,13 @@ def train_test_split(
     """
     if not exact:
         limit = int(test_share * 16**THRESHOLD_DIGITS)
-        chosen = key_hash(keys, seed, THRESHOLD_DIGITS) < limit
+        if limit >= 16**THRESHOLD_DIGITS:
+            return df.withColumn(out, F.lit(1))
+        chosen = key_hash(keys, seed, THRESHOLD_DIGITS) < f"{limit:0{THRESHOLD_DIGITS}x}"
         return df.withColumn(out, chosen.cast("int"))
 
     share = Fraction(test_share).limit_denominator(10**9)
-    hashed = df.withColumn("_hash", key_hash(keys, seed, RANK_DIGITS))
+    number = F.conv(key_hash(keys, seed, RANK_DIGITS), 16, 10).cast("long")
+    hashed = df.withColumn("_hash", number)
     cut = cut_by_rank(hashed, ["_hash", *keys], lambda n: [math.ceil(share * n)], out)
     return cut.withColumn(out, 1 - F.col(out)).drop("_hash")
