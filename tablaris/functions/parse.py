@@ -38,5 +38,5 @@ def parse_number(col: Column) -> Column:
 
 
 def is_finite(col: Column) -> Column:
-    """True for a double that is neither NaN nor infinite (NULL stays NULL)."""
+    """False for NaN and the infinities, true for all else, NULL included."""
     return ~(F.isnan(col) | F.abs(col).eqNullSafe(F.lit(float("inf"))))

@@ -12,9 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablaris.operators.quantiles import RANK_ROWS, order_statistics
@@ -71,9 +70,9 @@ def _attach(sliced: DataFrame, carry: DataFrame, group_by: Sequence[str]) -> Dat
     renamed = carry.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in carry.columns if c not in keys]
     )
-    on = reduce(
-        Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    )
+    on = F.col(_SLICE) == F.col(f"_k_{_SLICE}")
+    for k in group_by:
+        on &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return sliced.join(F.broadcast(renamed), on, "left").drop(*[f"_k_{k}" for k in keys])
 
 

@@ -23,6 +23,10 @@ from pyspark.sql import types as T
 
 # A part with at most this many rows is sorted directly, as one array.
 RANK_ROWS = 100_000
+# In a part of up to this many times as many rows, what lies between the pivots
+# is sorted in the same pass that counts around them. That is about a 250th of
+# the part, and the whole part at worst.
+ONE_PASS = 16
 SKETCH_SIZE = 4096
 SKETCH_FAN_IN = 256
 # How far, as a share of the rows, the pivots stand from the wanted rank: a few
@@ -124,8 +128,11 @@ def _survey(df: DataFrame, searches: Sequence[_Search]) -> list[tuple[int, int,
     return [(n, sane, *(pivots or (None, None))) for n, sane, pivots in row]
 
 
-def _count_around(df: DataFrame, pivots: Sequence[tuple[_Search, Any, Any]]) -> list[tuple]:
-    """Per search: rows of its column below, up to each of the two pivots."""
+def _count_around(
+    df: DataFrame, pivots: Sequence[tuple[_Search, Any, Any]], rank_rows: int
+) -> list[tuple]:
+    """Per search: rows of its column below, up to each of the two pivots, and,
+    in a part small enough, the statistic itself if it lies between them."""
     tests: dict[tuple, str] = {}
     for s, low, high in pivots:
         for pivot in (low, high):
@@ -135,20 +142,62 @@ def _count_around(df: DataFrame, pivots: Sequence[tuple[_Search, Any, Any]]) ->
         F.count_if(F.col(c) < pivot if strict else F.col(c) <= pivot).alias(name)
         for (c, pivot, strict), name in tests.items()
     ]
-    row = df.agg(*counts).first()
+    lists: dict[tuple, str] = {}
+    for s, low, high in pivots:
+        if s.rows <= rank_rows * ONE_PASS and low < high:
+            lists.setdefault((s.column, low, high), f"l{len(lists)}")
+    between = [
+        F.array_sort(
+            F.collect_list(F.when((F.col(c) > low) & (F.col(c) < high), F.col(c)))
+        ).alias(name)
+        for (c, low, high), name in lists.items()
+    ]
+
+    def found(s: _Search, low: Any, high: Any) -> Column:
+        name = lists.get((s.column, low, high))
+        if name is None:
+            return F.lit(None)
+        upto_low = F.col(tests[s.column, low, False])
+        return _statistic(F.col(name), F.lit(s.rank) - upto_low, upto_low)
+
+    row = (
+        df.agg(*counts, *between)
+        .select(*tests.values(), *[found(*p).alias(f"f{i}") for i, p in enumerate(pivots)])
+        .first()
+    )
     return [
-        tuple(row[tests[s.column, p, strict]] for p in (low, high) for strict in (True, False))
-        for s, low, high in pivots
+        (
+            *(row[tests[s.column, p, strict]] for p in (low, high) for strict in (True, False)),
+            row[f"f{i}"],
+        )
+        for i, (s, low, high) in enumerate(pivots)
     ]
 
 
+def _statistic(ordered: Column, position: Column, below: Column) -> Column:
+    """Value at a 1-based position of a sorted array, NULL if there is none,
+    with the rows below it (``below`` of them left of the array) and equal to it."""
+    there = (position >= 1) & (position <= F.size(ordered))
+    value = F.get(ordered, (position - 1).cast("int"))
+    return F.when(
+        there,
+        F.struct(
+            value.alias("value"),
+            (below + F.array_position(ordered, value) - 1).alias("below"),
+            F.size(F.filter(ordered, lambda v: v == value)).alias("equal"),
+        ),
+    )
+
+
 def _advance(search: _Search, low: Any, high: Any, counts: tuple) -> None:
     """Settle the search on a pivot or move it to the part between the right two."""
-    under_low, upto_low, under_high, upto_high = counts
+    under_low, upto_low, under_high, upto_high, between = counts
     if search.rank <= under_low:
         search.high, search.rows = low, under_low - search.below
     elif search.rank <= upto_low:
         search.found = OrderStatistic(low, under_low, upto_low - under_low)
+    elif between is not None:
+        search.found = OrderStatistic(*between)
     elif search.rank <= under_high:
         search.low, search.high = low, high
         search.below, search.rows = upto_low, under_high - upto_low
@@ -169,16 +218,14 @@ def _rank_directly(df: DataFrame, searches: Sequence[_Search]) -> None:
     ]
     lists = df.where(_any([s.inside() for s in parts.values()])).agg(*values)
 
-    def statistic(s: _Search) -> Column:
-        kept = F.col(name[s.part])
-        value = F.element_at(kept, F.lit(s.rank - s.below))
-        below = F.array_position(kept, value) - 1
-        equal = F.size(F.filter(kept, lambda v: v == value))
-        return F.struct(value, below, equal)
-
-    found = lists.select(*[statistic(s).alias(f"r{i}") for i, s in enumerate(searches)]).first()
-    for s, (value, below, equal) in zip(searches, found):
-        s.found = OrderStatistic(value, s.below + below, equal)
+    found = lists.select(
+        *[
+            _statistic(F.col(name[s.part]), F.lit(s.rank - s.below), F.lit(s.below)).alias(f"r{i}")
+            for i, s in enumerate(searches)
+        ]
+    ).first()
+    for s, statistic in zip(searches, found):
+        s.found = OrderStatistic(*statistic)
 
 
 def order_statistics(
@@ -224,7 +271,7 @@ def order_statistics(
                 pivots.append((s, low, high))
         if not pivots:
             break
-        for (s, low, high), counts in zip(pivots, _count_around(df, pivots)):
+        for (s, low, high), counts in zip(pivots, _count_around(df, pivots, rank_rows)):
             _advance(s, low, high, counts)
         large = [s for s, _ in waiting if s.found is None and s.rows > rank_rows]
         waiting = list(zip(large, _survey(df, large))) if large else []

@@ -150,7 +150,7 @@ def score_requests(
             F.coalesce(F.try_element_at(field_errors, F.lit(1)), "problem")
         ),
     ).withColumn("value", F.when(F.col("error").isNull(), value))
-    failed = F.col("error").isNull() & ~F.coalesce(is_finite(F.col("value")), F.lit(False))
+    failed = F.col("error").isNull() & ~is_finite(F.col("value"))
     error = F.when(failed, _message(texts.failed, F.col("value").cast("string"))).otherwise(
         F.col("error")
     )
