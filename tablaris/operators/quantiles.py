@@ -25,8 +25,10 @@ from pyspark.sql import types as T
 RANK_ROWS = 100_000
 # In a part of up to this many times as many rows, what lies between the pivots
 # is sorted in the same pass that counts around them. That is about a 250th of
-# the part, and the whole part at worst.
+# the part, and the whole part at worst. Measured: with more than a few such
+# lists the aggregate takes longer than two passes do.
 ONE_PASS = 16
+ONE_PASS_LISTS = 4
 SKETCH_SIZE = 4096
 SKETCH_FAN_IN = 256
 # How far, as a share of the rows, the pivots stand from the wanted rank: a few
@@ -146,8 +148,10 @@ def _count_around(
     for s, low, high in pivots:
         if s.rows <= rank_rows * ONE_PASS and low < high:
             lists.setdefault((s.column, low, high), f"l{len(lists)}")
+    if len(lists) > ONE_PASS_LISTS:
+        lists = {}
     between = [
-        F.array_sort(
+        F.sort_array(
             F.collect_list(F.when((F.col(c) > low) & (F.col(c) < high), F.col(c)))
         ).alias(name)
         for (c, low, high), name in lists.items()
@@ -213,7 +217,7 @@ def _rank_directly(df: DataFrame, searches: Sequence[_Search]) -> None:
     parts = {s.part: s for s in searches}
     name = {part: f"v{i}" for i, part in enumerate(parts)}
     values = [
-        F.array_sort(F.collect_list(F.when(s.inside(), F.col(s.column)))).alias(name[part])
+        F.sort_array(F.collect_list(F.when(s.inside(), F.col(s.column)))).alias(name[part])
         for part, s in parts.items()
     ]
     lists = df.where(_any([s.inside() for s in parts.values()])).agg(*values)
