@@ -174,9 +174,10 @@ def cut_by_rank(
     """Number the stretches that the given ranks cut the ordered table into.
 
     A row's ``out`` is how many of the ranks lie before its position. The
-    first order column, numeric and without NULLs, is cut by its exact order
-    statistics, so no row is shuffled or sorted; only rows tied with a cut
-    value are ranked by the remaining columns.
+    first order column, a number, is cut by its exact order statistics, so no
+    row is shuffled or sorted; only rows tied with a cut value are ranked by the
+    remaining columns. Rows without a first column have no position: they stay,
+    with NULL for ``out``.
     """
     lead, *rest = order_by
 
@@ -213,5 +214,5 @@ def cut_by_rank(
         ),
         above,
     )
-    clear = df.where(~col.isin(list(shared))).withColumn(out, above)
+    clear = df.where(~F.coalesce(col.isin(list(shared)), F.lit(False))).withColumn(out, above)
     return clear.unionByName(tied.withColumn(out, beyond).drop("_tie"))

@@ -235,6 +235,8 @@ def cross_validate(
     found = moments_by(
         assign_folds(complete, order_by, folds, window_rows), features, label, "fold"
     )
+    if None in found:
+        raise ValueError(f"rows without {order_by[0]} have no place in the order")
     if len(found) < folds:
         raise ValueError(f"{folds} folds need at least {folds} rows")
     empty = Moments(0, np.zeros(len(columns)), np.zeros((len(columns), len(columns))))

@@ -183,3 +183,9 @@ def test_training_report(spark, df, sample):
 def test_training_names_missing_columns(df):
     with pytest.raises(ValueError, match="zz"):
         train(df, ["a", "zz"], "y", ["id"])
+
+
+def test_cross_validation_needs_a_place_for_every_row(spark):
+    rows = [(i, float(i), float(i)) for i in range(9)] + [(None, 1.0, 1.0)]
+    with pytest.raises(ValueError, match="id"):
+        cross_validate(spark.createDataFrame(rows, "id int, x double, y double"), ["x"], "y", ["id"], 3)

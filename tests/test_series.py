@@ -161,3 +161,9 @@ def test_rank_cut_through_an_unordered_tie_is_an_error(spark):
     df = spark.createDataFrame([(1,), (1,)], "id int")
     with pytest.raises(ValueError):
         cut_by_rank(df, ["id"], lambda n: [1], "bin")
+
+
+def test_rows_without_a_place_are_kept(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 3), (None, 4)], "lead int, id int")
+    out = cut_by_rank(df, ["lead", "id"], lambda n: [1], "bin")
+    assert {r["id"]: r["bin"] for r in out.collect()} == {1: 0, 2: 1, 3: 1, 4: None}
