@@ -29,6 +29,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_built: list[tuple[object, object]] = []
+
+
+def once(shared, build):
+    """``build(shared.value)``, made once in each Python worker; ``shared`` is a broadcast."""
+    for held, built in _built:
+        if held is shared:
+            return built
+    _built.append((shared, build(shared.value)))
+    del _built[:-4]
+    return _built[-1][1]
+
+
 def components(edges: DataFrame, label: str = "components", rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b: long) as rows (node, root).
 

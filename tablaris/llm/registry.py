@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tablaris.llm import exact_dedup, line_dedup, secrets
+from tablaris.llm import bpe, exact_dedup, line_dedup, packing, secrets
 
 QUERIES = {
+    "op1_byte_bpe": bpe.op1_byte_bpe,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op8_packing": packing.op8_packing,
     "op10_secret_scan": secrets.op10_secret_scan,
 }
 
