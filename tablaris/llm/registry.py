@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tablaris.llm import bpe, exact_dedup, line_dedup, packing, secrets
+from tablaris.llm import bpe, exact_dedup, language, line_dedup, packing, secrets
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op3_language_id": language.op3_language_id,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op8_packing": packing.op8_packing,
