@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tablaris.llm import bpe, exact_dedup, language, line_dedup, packing, secrets
+from tablaris.llm import bpe, chat, exact_dedup, language, line_dedup, packing, secrets
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op3_language_id": language.op3_language_id,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_chat_format": chat.op6_chat_format,
     "op8_packing": packing.op8_packing,
     "op10_secret_scan": secrets.op10_secret_scan,
 }
@@ -16,4 +17,5 @@ QUERIES = {
 ORACLES = {
     "op4_line_dedup": line_dedup.ORACLE_SQL,
     "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op6_chat_format": chat.ORACLE_SQL,
 }
