@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablaris.llm import bpe, chat, embedding_dedup, exact_dedup, language, line_dedup, packing, secrets
+from tablaris.llm import bpe, chat, embedding_dedup, exact_dedup, language, line_dedup, ngram_join, packing, secrets
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_chat_format": chat.op6_chat_format,
+    "op7_ngram_jaccard_join": ngram_join.op7_ngram_jaccard_join,
     "op8_packing": packing.op8_packing,
     "op9_embedding_near_dup": embedding_dedup.op9_embedding_near_dup,
     "op10_secret_scan": secrets.op10_secret_scan,
