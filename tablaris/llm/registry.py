@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tablaris.llm import bpe, chat, embedding_dedup, exact_dedup, language, line_dedup, ngram_join, packing, secrets
+from tablaris.llm import bpe, chat, embedding_dedup, exact_dedup, language, line_dedup, ngram_join, packing, secrets, suffix_dedup
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_language_id": language.op3_language_id,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
