@@ -53,11 +53,12 @@ def written(spans: Column) -> Column:
     )
 
 def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 200) -> DataFrame:
-    """One row per input row: id, base (array of spans), linked (array of spans).
+    """One row per input row: id, base (array of spans), linked (array of spans), row.
 
     A span is (start, rank in ``KINDS``, end) in code points, end exclusive.
     ``linked`` holds weak parts: an account needs a secret within ``reach``, a
-    bare key an identifier, an endpoint both. Null text counts as empty and has
+    bare key an identifier, an endpoint both. ``row`` is one for rows of the same id
+    and text. Null text counts as empty and has
     no spans; equal rows give equal results; ids may repeat or be null. Other
     columns are ignored, whatever their names. An empty table gives an empty
     result.
@@ -75,7 +76,7 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rows.select(
             "id",
             # A row is known by its id and text; the digest stands for the text from here on.
-            F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("-")), F.md5("text")).alias("row"),
+            row_key(F.col("id"), F.col("text")).alias("row"),
             F.concat(long_enough, "s_access", "s_hex").alias("base"),
             F.concat("s_account", "s_key", "s_endpoint").alias("weak"),
         ),
@@ -114,8 +115,35 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("id").alias(id_col),
         F.sort_array("base").alias("base"),
         F.sort_array(F.coalesce("linked", F.array().cast(SPAN))).alias("linked"),
+        "row",
     )
 
+
+def row_key(given: Column, text: Column) -> Column:
+    """The id and the text's digest, as one string."""
+    return F.concat_ws(":", F.coalesce(given.cast("string"), F.lit("-")), F.md5(text))
+
+
+def redact_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", reach: int = 200) -> DataFrame:
+    """``df`` with every span of :func:`find_secrets` replaced by ``mark``.
+
+    Spans that overlap become one mark. Texts without spans, null ones too, stay as
+    they are, and so do all other columns and the number of rows.
+    """
+    found = find_secrets(df, id_col, text_col, reach)
+    found = found.select("row", F.concat("base", "linked").alias("spans")).where(F.size("spans") > 0).dropDuplicates(["row"])
+    rows = df.select(F.struct("*").alias("x"), row_key(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("is"))
+    rows = rows.join(found, F.col("is") == F.col("row"), "left")
+    text = F.col("x")[text_col]
+
+    def step(acc: Column, s: Column) -> Column:
+        upto = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], upto).otherwise(acc["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    clean = F.aggregate(F.sort_array("spans"), start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    return rows.select(*[F.when(F.col("spans").isNull(), text).otherwise(clean).alias(c) if c == text_col else F.col("x")[c].alias(c) for c in df.columns])
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda s: s["rank"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
