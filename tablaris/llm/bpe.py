@@ -29,8 +29,8 @@ from tablaris.llm.lookup import HashIndex
 NONE = np.iinfo(np.int32).max
 WIDEST = 256  # bytes; longer pre-tokens are merged as single rows, all equal pairs at once
 CELLS = 1 << 21  # of a matrix
-KNOWN = 400_000  # pieces of text, and pre-tokens, whose ids a worker remembers
-BLOCK = 4 << 20  # characters of text in work at a time
+KNOWN = 150_000  # pieces of text, and pre-tokens, whose ids a worker remembers
+BLOCK = 1 << 20  # characters of text in work at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -64,6 +64,9 @@ class TextIds:
         fresh = set().union(*pieces).difference(self.known)
         fine = [p for p in fresh if p == "\n" or p.strip() and not (p[-1].isspace() or p[p[0] == " "].isspace())]
         self.known.update(dict.fromkeys(fresh))
+        words = [p for p in fine if p.lstrip(" ").isalpha()]  # letters, and a space at most, are one pre-token
+        self.known.update(zip(words, self.word_ids(words)))
+        fine = [p for p in fine if self.known[p] is None]
         self.known.update(zip(fine, self._match(fine)))
         out = []
         for text, own in zip(texts, pieces):
@@ -268,14 +271,12 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out: st
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = once(shared, lambda v: {rank: token for token, rank in v.items()})
         for batch in batches:
-            lists = batch.column(ids_col)
-            ids, ends = lists.flatten().to_numpy().tolist(), np.cumsum(np.nan_to_num(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(float))).astype(int)
-            texts, start = [], 0
-            for end, valid in zip(ends.tolist(), lists.is_valid().to_pylist()):
-                texts.append(b"".join(map(tokens.__getitem__, ids[start:end])) if valid else None)
-                start = end
             columns = [batch.column(f.name) for f in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], [f.name for f in schema])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts(batch.column(ids_col), tokens), pa.binary())], [f.name for f in schema])
+
+    def texts(lists: pa.ListArray, tokens: dict[int, bytes]) -> Iterator[bytes | None]:
+        for row in lists:
+            yield b"".join(map(tokens.__getitem__, row.values.to_numpy().tolist())) if row.is_valid else None
 
     return df.mapInArrow(work, schema)
 
