@@ -13,6 +13,15 @@ from pyspark.sql import functions as F
 DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 
 
+# As above, with an exponent, or one of the words for what is not a finite number.
+NUMBER_TEXT = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
+
+
+def trimmed(text: Column) -> Column:
+    """Without white space of any kind at the ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def clean_text(col: Column, decimal_comma: bool) -> Column:
     """Trimmed text, with every comma read as a decimal point on request."""
     text = F.trim(col.cast("string"))
@@ -33,8 +42,12 @@ def parse_int(col: Column, decimal_comma: bool = True) -> Column:
 
 
 def parse_number(col: Column) -> Column:
-    """Coerce a column of any type to double, failures to NULL."""
-    return F.trim(col.cast("string")).try_cast("double")
+    """Coerce a column of any type to double, failures to NULL.
+
+    A text is a number as a whole or not at all: ``1d`` and ``2f`` are not.
+    """
+    text = trimmed(col.cast("string"))
+    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
 def is_finite(col: Column) -> Column:

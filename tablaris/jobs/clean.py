@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from tablaris.plans.clean import clean_csv
 from tablaris.plans.presets import SPECS
-from tablaris.sources.staging import discard_staged
+from tablaris.sources.staging import staged_run
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -21,16 +21,16 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--quantiles", choices=["exact", "approx"], default="exact")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    clean_csv(
-        spark,
-        args.input,
-        args.output,
-        args.report,
-        SPECS[args.preset],
-        args.single_csv,
-        args.quantiles,
-    )
-    discard_staged(spark)
+    with staged_run(spark):
+        clean_csv(
+            spark,
+            args.input,
+            args.output,
+            args.report,
+            SPECS[args.preset],
+            args.single_csv,
+            args.quantiles,
+        )
 
 
 if __name__ == "__main__":

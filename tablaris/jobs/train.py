@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from tablaris.plans.train import train
 from tablaris.sources.models import save_models
-from tablaris.sources.staging import discard_staged
+from tablaris.sources.staging import staged_run
 from tablaris.sources.tables import write_parquet
 
 
@@ -24,17 +24,17 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--summary-out", required=True)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    report = train(
-        spark.read.parquet(args.input),
-        args.features.split(","),
-        args.label,
-        args.keys.split(","),
-        args.order.split(",") if args.order else None,
-        args.name,
-    )
-    save_models(spark, [report.model], args.model_out)
-    write_parquet(report.summary(spark).coalesce(1), args.summary_out)
-    discard_staged(spark)
+    with staged_run(spark):
+        report = train(
+            spark.read.parquet(args.input),
+            args.features.split(","),
+            args.label,
+            args.keys.split(","),
+            args.order.split(",") if args.order else None,
+            args.name,
+        )
+        save_models(spark, [report.model], args.model_out)
+        write_parquet(report.summary(spark).coalesce(1), args.summary_out)
 
 
 if __name__ == "__main__":

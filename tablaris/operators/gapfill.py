@@ -44,7 +44,9 @@ def _left_fill(
     for c in entity:
         on &= F.col(c).eqNullSafe(F.col(f"_k_{c}"))
     filled = spine.join(data, on, "left")
-    return filled.select(*df.columns, F.col("_present").isNull().cast("int").alias(flag))
+    filled = filled.select(*df.columns, F.col("_present").isNull().cast("int").alias(flag))
+    # Rows without a key have no place in the series and stay as they are.
+    return filled.union(df.where(F.col(key).isNull()).withColumn(flag, F.lit(0)))
 
 
 def fill_gaps(
@@ -55,7 +57,8 @@ def fill_gaps(
 ) -> DataFrame:
     """One row for every key from the smallest to the largest.
 
-    ``df`` holds each key once. The spine is generated in parallel; only the
+    ``df`` holds each key once; rows whose key is NULL stay, unflagged, and a key
+    held several times stays as often. The spine is generated in parallel; only the
     two bounds are fetched, unless the caller already knows them.
     """
     if bounds is None:

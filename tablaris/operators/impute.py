@@ -21,13 +21,6 @@ class Survey:
     barren: tuple[str, ...]
 
 
-def tie_break(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str]) -> list[str]:
-    """``order_by`` extended by every other column, so that exactly deduplicated
-    rows have one order whatever their layout."""
-    fixed = {*order_by, *group_by}
-    return [*order_by, *[c for c in df.columns if c not in fixed]]
-
-
 def filled_value(column: str, median: float | None) -> Column:
     """Own value, else the neighbours' mean, else the one neighbour, else the median."""
     before, after = F.col(f"_prev_{column}"), F.col(f"_next_{column}")
@@ -47,7 +40,8 @@ def impute(
 
     One aggregate first learns what is needed at all, unless the caller knows:
     columns without NULLs cost nothing more, and the table-wide median, the
-    last resort, is computed only where some whole group is empty. A run of NULLs gets equal values, as
+    last resort, is computed only where some whole group is empty. Rows tied in
+    ``order_by`` are told apart by their other columns. A run of NULLs gets equal values, as
     both neighbours are original ones. ``df`` is read again by the result, so
     stage it first if it is costly.
     """

@@ -21,8 +21,6 @@ from tablaris.sources.staging import stage
 
 # Rows of one group that a single window task may take.
 WINDOW_ROWS = 1_000_000
-# Bound on slices, and so (twice over) on the rows of a broadcast slice summary.
-MAX_SLICES = 20_000
 
 _SLICE = "_slice"
 
@@ -44,11 +42,23 @@ def group_sizes(df: DataFrame, group_by: Sequence[str]) -> GroupSizes:
     return GroupSizes(row["rows"] or 0, row["largest"] or 0)
 
 
+def total_order(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str] = ()) -> list[str]:
+    """``order_by`` extended by every other column that has an order.
+
+    Rows tied in ``order_by`` then have one place whatever their layout; rows
+    equal in everything are interchangeable.
+    """
+    fixed = {*order_by, *group_by}
+    unordered = ("map", "variant", "interval")
+    kinds = dict(df.dtypes)
+    return [*order_by, *[c for c in df.columns if c not in fixed and not any(u in kinds[c] for u in unordered)]]
+
+
 def _slices(
     df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], rows: int, window_rows: int
 ) -> DataFrame:
     """Staged copy cut into contiguous ranges of (group, order)."""
-    count = min(MAX_SLICES, max(2, math.ceil(rows / window_rows)))
+    count = max(2, math.ceil(rows / window_rows))
     ranged = df.repartitionByRange(count, *group_by, *order_by)
     return stage(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
 
@@ -65,7 +75,11 @@ def _spanning(summary: DataFrame, group_by: Sequence[str]) -> DataFrame:
 
 
 def _attach(sliced: DataFrame, carry: DataFrame, group_by: Sequence[str]) -> DataFrame:
-    """Join the bounded slice summary back, NULL groups matching themselves."""
+    """Join the slice summary back, NULL groups matching themselves.
+
+    The summary has at most two rows a slice; whether that is broadcast or
+    shuffled is left to the sizes found when it runs.
+    """
     keys = [*group_by, _SLICE]
     renamed = carry.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in carry.columns if c not in keys]
@@ -73,7 +87,7 @@ def _attach(sliced: DataFrame, carry: DataFrame, group_by: Sequence[str]) -> Dat
     on = F.col(_SLICE) == F.col(f"_k_{_SLICE}")
     for k in group_by:
         on &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return sliced.join(F.broadcast(renamed), on, "left").drop(*[f"_k_{k}" for k in keys])
+    return sliced.join(renamed, on, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def neighbours(
@@ -86,9 +100,11 @@ def neighbours(
 ) -> DataFrame:
     """Add, per column, the last known value up to and the first from each row.
 
-    The additions are named ``_prev_<c>`` and ``_next_<c>``. ``order_by`` must
-    be unique within a group for the result to be determined.
+    The additions are named ``_prev_<c>`` and ``_next_<c>``. Rows tied in
+    ``order_by`` go by their other columns, NULLs first, in one total order that
+    both directions follow.
     """
+    order_by = total_order(df, order_by, group_by)
     sizes = sizes or group_sizes(df, group_by)
     sliced = sizes.largest > window_rows
     if sliced:
@@ -140,7 +156,8 @@ def row_positions(
     sizes: GroupSizes | None = None,
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
-    """Add the 1-based position of each row within its group."""
+    """Add the 1-based position of each row within its group, ties as in :func:`neighbours`."""
+    order_by = total_order(df, order_by, group_by)
     sizes = sizes or group_sizes(df, group_by)
     sliced = sizes.largest > window_rows
     if not sliced:

@@ -342,7 +342,8 @@ def interpolated_quantiles(
     for c, (n, stats) in found.items():
         pairs = zip(stats[::2], stats[1::2], spots(n)) if n else []
         result[c] = [
-            lo.value + (hi.value - lo.value) * float(s - math.floor(s)) for lo, hi, s in pairs
+            float(lo.value) + (float(hi.value) - float(lo.value)) * float(s - math.floor(s))
+            for lo, hi, s in pairs
         ] or [None] * len(probabilities)
     return result
 

@@ -1,8 +1,7 @@
 """Ordinary least squares from co-moments.
 
-One aggregate gathers means and population covariances of features and label
-(Spark's updates are numerically stable, unlike raw sums of products), grouped
-by fold where folds are asked for. What reaches the driver is a matrix of
+One pass gathers means and population covariances of features and label (as
+deviations, unlike raw sums of products), by fold where folds are asked for. What reaches the driver is a matrix of
 ``(features + 1)`` squared numbers per fold; the solve happens there.
 """
 
@@ -11,12 +10,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import combinations_with_replacement
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablaris.operators.moments import PairMoments, pair_moments
 from tablaris.operators.ordering import WINDOW_ROWS, cut_by_rank
 
 # FIXED VALUES: lower R² limits of the performance bands.
@@ -35,6 +34,8 @@ class LinearModel:
     name: str = "model"
     # True when features were linearly dependent (shortest solution taken).
     rank_deficient: bool = False
+    # Shown in answers instead of the name, if given.
+    display: str = ""
 
 
 @dataclass(frozen=True)
@@ -55,20 +56,11 @@ class Moments:
         return Moments(n, self.means + delta * (other.n / n), cov)
 
 
-def _moment_columns(columns: Sequence[str]) -> list[Column]:
-    means = [F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]
-    pairs = combinations_with_replacement(range(len(columns)), 2)
-    covs = [F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs]
-    return [F.count(F.lit(1)).alias("n"), *means, *covs]
-
-
-def _from_row(row: Row, width: int) -> Moments:
-    cov = np.zeros((width, width))
-    if not row["n"]:
-        return Moments(0, np.zeros(width), cov)
-    for i, j in combinations_with_replacement(range(width), 2):
-        cov[i, j] = cov[j, i] = row[f"c{i}_{j}"]
-    return Moments(row["n"], np.array([row[f"m{i}"] for i in range(width)], dtype=float), cov)
+def _from_pairs(found: PairMoments | None, width: int) -> Moments:
+    """Rows are complete here, so every pair has the same rows."""
+    if found is None:
+        return Moments(0, np.zeros(width), np.zeros((width, width)))
+    return Moments(int(found.n[0, 0]), found.mean[:, 0], found.joint / found.n[0, 0])
 
 
 def _complete(df: DataFrame, columns: Sequence[str], *extra: str) -> DataFrame:
@@ -78,14 +70,14 @@ def _complete(df: DataFrame, columns: Sequence[str], *extra: str) -> DataFrame:
 
 def moments(df: DataFrame, features: Sequence[str], label: str) -> Moments:
     columns = [*features, label]
-    return _from_row(_complete(df, columns).agg(*_moment_columns(columns)).first(), len(columns))
+    return _from_pairs(pair_moments(_complete(df, columns), columns).get(None), len(columns))
 
 
 def moments_by(df: DataFrame, features: Sequence[str], label: str, by: str) -> dict[int, Moments]:
-    """Moments per value of a column that takes few values, such as a fold."""
+    """Moments per value of a column of a stated few values, such as a fold."""
     columns = [*features, label]
-    rows = _complete(df, columns, by).groupBy(by).agg(*_moment_columns(columns)).collect()
-    return {r[by]: _from_row(r, len(columns)) for r in rows}
+    found = pair_moments(_complete(df, columns, by), columns, by)
+    return {k: _from_pairs(m, len(columns)) for k, m in found.items()}
 
 
 def solve(m: Moments) -> tuple[float, np.ndarray, bool]:

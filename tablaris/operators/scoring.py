@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablaris.functions.names import normalize_name
-from tablaris.functions.parse import is_finite
+from tablaris.functions.parse import is_finite, parse_number, trimmed
 from tablaris.operators.conform import column_sources
 from tablaris.operators.regression import LinearModel, predict
 
-# Exercises beyond this number are joined by shuffle instead of broadcast.
-BROADCAST_EXERCISES = 10_000
-
 
 @dataclass(frozen=True)
 class Exercise:
@@ -26,6 +26,8 @@ class Exercise:
     fields: tuple[tuple[str, str], ...]
     target: str
     model: str
+    # What answers call the model; its own name, or this, where that is empty.
+    display: str = "Model"
 
 
 @dataclass(frozen=True)
@@ -93,15 +95,27 @@ def exercise_lookup(
             (
                 e.key,
                 e.title,
-                model.name if model else None,
-                model.target if model else e.target,
+                (model.display or model.name or e.display) if model else None,
+                (model.target if model else None) or e.target,
                 problem,
                 list(e.fields),
                 model.intercept if model else None,
                 terms,
             )
         )
-    return df.sparkSession.createDataFrame(rows, _LOOKUP)
+    # As an Arrow table this is a local relation, whose size Spark knows when it plans a join.
+    schema = T.StructType.fromDDL(_LOOKUP)
+    names = schema.names
+    columns = [pa.array(v, f.type) for v, f in zip(zip(*map(_plain, rows)), to_arrow_schema(schema))] if rows else None
+    if columns is None:
+        return df.sparkSession.createDataFrame([], schema)
+    return df.sparkSession.createDataFrame(pa.table(columns, names), schema)
+
+
+def _plain(row: tuple) -> list:
+    """A lookup row with its structs as dictionaries."""
+    fields = [{"name": n, "label": text} for n, text in row[5]]
+    return [*row[:5], fields, row[6], [{"field": f, "coefficient": c} for f, c in row[7]]]
 
 
 def _message(template: str, value: Column) -> Column:
@@ -118,30 +132,30 @@ def score_requests(
     """Answer a table of requests ``(request_id, exercise, fields map)``.
 
     Each row comes back with exercise title, model, target and value, or with
-    the first error found. Requests are not shuffled: the lookup is broadcast
-    while it is small, and everything after the join is row-local.
+    the first error found. White space around names and values does not count, and
+    a number is what :func:`parse_number` reads. The lookup is a local table, so the
+    sizes that Spark knows decide how it is joined; where that is by shuffle, adaptive
+    execution splits an exercise that most requests name. After that all is row-local.
     """
     texts = messages or Messages()
     lookup = exercise_lookup(requests, exercises, models, texts).withColumnRenamed(
         "fields", "form"
     )
-    if len(exercises) <= BROADCAST_EXERCISES:
-        lookup = F.broadcast(lookup)
-    asked = requests.withColumn("exercise", F.trim("exercise"))
+    asked = requests.withColumn("exercise", trimmed(F.col("exercise")))
     joined = asked.join(lookup, "exercise", "left")
 
     def given(name: Column) -> Column:
-        return F.trim(F.coalesce(F.try_element_at("fields", name), F.lit("")))
+        return trimmed(F.coalesce(F.try_element_at("fields", name), F.lit("")))
 
     def field_error(f: Column) -> Column:
         text = given(f["name"])
         return F.when(text == "", _message(texts.empty, f["label"])).when(
-            text.try_cast("double").isNull(), _message(texts.not_numeric, f["label"])
+            parse_number(text).isNull(), _message(texts.not_numeric, f["label"])
         )
 
     field_errors = F.filter(F.transform("form", field_error), lambda e: e.isNotNull())
     terms = F.transform(
-        "terms", lambda t: given(t["field"]).try_cast("double") * t["coefficient"]
+        "terms", lambda t: parse_number(given(t["field"])) * t["coefficient"]
     )
     value = F.aggregate(terms, F.col("intercept"), lambda total, part: total + part)
     checked = joined.withColumn(

@@ -19,7 +19,8 @@ RANK_DIGITS = 15
 
 def key_hash(keys: Sequence[str], seed: int, digits: int) -> Column:
     """Leading hex digits of md5 over ``key:...:seed``; text order is number order."""
-    parts = [F.col(k).cast("string") for k in keys]
+    # A NULL must count: ('a', NULL) and (NULL, 'a') are different keys.
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in keys]
     return F.substring(F.md5(F.concat_ws(":", *parts, F.lit(str(seed))).cast("binary")), 1, digits)
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablaris.operators.moments import pair_moments
 from tablaris.operators.quantiles import interpolated_quantiles
 
 
@@ -61,28 +63,17 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations, both triangles, one row per pair.
 
-    Pairs are computed once, in one aggregate, over rows where both are known.
+    One pass over the rows; each pair counts those where both are known. A pair
+    without spread, or without rows, has NULL.
     """
-    known = {
-        (a, b): F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r_{i}_{j}")
+    found = pair_moments(df, columns).get(None)
+    r = np.full((len(columns),) * 2, np.nan) if found is None else found.correlations()
+    rows = [
+        (a, b, None if np.isnan(r[i, j]) else float(r[i, j]))
         for i, a in enumerate(columns)
         for j, b in enumerate(columns)
-        if i <= j
-    }
-    wide = df.agg(*known.values())
-    name = {pair: f"r_{columns.index(pair[0])}_{columns.index(pair[1])}" for pair in known}
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("variable_a"),
-                F.lit(b).alias("variable_b"),
-                F.col(name[(a, b)] if (a, b) in name else name[(b, a)]).alias("r"),
-            )
-            for a in columns
-            for b in columns
-        ]
-    )
-    return wide.select(F.inline(cells))
+    ]
+    return df.sparkSession.createDataFrame(rows, "variable_a string, variable_b string, r double")
 
 
 def trend_lines(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:

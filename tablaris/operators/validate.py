@@ -31,13 +31,26 @@ def is_valid(rules: Sequence[Rule], finite: Sequence[str] = ()) -> Column:
 
 
 def spec_validity(spec: CleanSpec) -> Column:
-    """No expected column is NULL, every rule holds, doubles are finite."""
+    """No required column is NULL, its rules hold, doubles are finite."""
+    required = [f for f in spec.fields if f.required]
+    names = {f.name for f in required}
     ruled = {r.column for r in spec.rules}
-    rules = [Rule(n) for n in spec.names if n not in ruled] + list(spec.rules)
-    doubles = [f.name for f in spec.fields if f.kind == "double"]
+    rules = [Rule(f.name) for f in required if f.name not in ruled] + [r for r in spec.rules if r.column in names]
+    doubles = [f.name for f in required if f.kind == "double"]
     return is_valid(rules, doubles if spec.reject_non_finite else ())
 
 
+def blank_invalid(df: DataFrame, spec: CleanSpec) -> DataFrame:
+    """Values of optional columns that break a rule, or are not finite, become NULL."""
+    checks = {}
+    for f in spec.fields:
+        if not f.required:
+            finite = [f.name] if f.kind == "double" and spec.reject_non_finite else []
+            good = is_valid([r for r in spec.rules if r.column == f.name], finite)
+            checks[f.name] = F.when(good, F.col(f.name))
+    return df.withColumns(checks) if checks else df
+
+
 def keep_valid(df: DataFrame, rules: Sequence[Rule], finite: Sequence[str] = ()) -> DataFrame:
     return df.where(is_valid(rules, finite))
 

@@ -3,8 +3,8 @@
 Conform, type, validate, deduplicate, fill gaps, impute, cap. The
 deduplicated rows are staged once, and once more if values were imputed; every
 statistic after that reads single columns of a Parquet table. Validation
-leaves no NULLs, so imputation concerns inserted keys alone and is skipped
-where none were inserted.
+leaves NULLs in optional columns only, so imputation concerns those and
+inserted keys, and is skipped where there are neither.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tablaris.operators.gapfill import fill_gaps
 from tablaris.operators.impute import Survey, impute
 from tablaris.operators.ordering import WINDOW_ROWS, GroupSizes
 from tablaris.operators.outliers import Fence, iqr_fences, winsorize
-from tablaris.operators.validate import spec_validity, validity_counts
+from tablaris.operators.validate import blank_invalid, spec_validity, validity_counts
 from tablaris.sources.csv import scan_csv, write_csv
 from tablaris.sources.staging import stage
 from tablaris.sources.tables import read_parquet, write_parquet, write_report
@@ -66,7 +66,7 @@ def with_ingest_order(df: DataFrame, spec: CleanSpec) -> tuple[DataFrame, CleanS
 
 
 def typed_rows(raw: DataFrame, spec: CleanSpec, headers: Sequence[str] | None) -> DataFrame:
-    return apply_types(conform(raw, spec, headers), spec)
+    return blank_invalid(apply_types(conform(raw, spec, headers), spec), spec)
 
 
 def _deduplicated(valid: DataFrame, spec: CleanSpec) -> DataFrame:
@@ -82,7 +82,13 @@ def clean(
     quantile_mode: str = "exact",
     window_rows: int = WINDOW_ROWS,
 ) -> CleanResult:
-    """Run the cleaning chain described by ``spec``."""
+    """Run the cleaning chain described by ``spec``.
+
+    Columns of ``spec.impute`` that are not required are imputed inside
+    ``spec.group_by``; filled gaps belong to no group, so a spec cannot have both.
+    """
+    if spec.fill_gaps and spec.group_by:
+        raise ValueError("inserted keys belong to no group: fill_gaps and group_by exclude each other")
     headers = list(headers or raw.columns)
     raw, spec = with_ingest_order(raw, spec)
     typed = typed_rows(raw, spec, headers)
@@ -98,16 +104,17 @@ def clean(
     labels, inserted = spec.labels, 0
     if spec.fill_gaps and rows:
         inserted = high - low + 1 - rows
-    if inserted:
-        span = GroupSizes(rows + inserted, rows + inserted)
+    optional = [f.name for f in spec.fields if f.name in spec.impute and not f.required]
+    if inserted or optional:
+        source, survey = base, None
+        if inserted:
+            source = fill_gaps(base, spec.key, labels.inserted, (low, high))
+            span = GroupSizes(rows + inserted, rows + inserted)
+            survey = None if optional else Survey(span, tuple(spec.impute), ())
+        elif spec.fill_gaps:
+            source = base.withColumn(labels.inserted, F.lit(0))
         whole = impute(
-            fill_gaps(base, spec.key, labels.inserted, (low, high)),
-            spec.impute,
-            spec.order_by,
-            (),
-            labels.imputed,
-            window_rows,
-            Survey(span, tuple(spec.impute), ()),
+            source, spec.impute, spec.order_by, spec.group_by, labels.imputed, window_rows, survey
         )
         whole = stage(whole, "imputed")
     else:
@@ -188,7 +195,7 @@ def _report_row(result: CleanResult, counts: dict, final: dict) -> DataFrame:
         counts["invalid_rows"],
         counts["valid_rows"] - result.base_rows,
         *gaps,
-        {c: result.inserted for c in spec.impute},
+        {c: final[f"imp_{c}"] for c in spec.impute},
         {c: final[f"null_{c}"] for c in spec.impute},
         {c: final[f"imp_{c}"] for c in spec.impute},
         limits,

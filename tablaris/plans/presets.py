@@ -107,6 +107,7 @@ EXERCISES = (
         (("dia", "Dia"), ("inflacion", "Inflacion"), ("tasa_interes", "Tasa de interes")),
         "precio_dolar",
         "dolar",
+        "Modelo",
     ),
     Exercise(
         "glucosa",
@@ -114,6 +115,7 @@ EXERCISES = (
         (("edad", "Edad"), ("imc", "IMC"), ("actividad_fisica", "Actividad fisica")),
         "nivel_glucosa",
         "glucosa",
+        "Modelo",
     ),
     Exercise(
         "energia",
@@ -121,6 +123,7 @@ EXERCISES = (
         (("temperatura", "Temperatura"), ("hora", "Hora"), ("dia_semana", "Dia de semana")),
         "consumo_energia",
         "energia",
+        "Modelo",
     ),
 )
 

@@ -18,4 +18,6 @@ def score_with_stored_models(
     messages: Messages | None = None,
 ) -> DataFrame:
     """Answers to ``(request_id, exercise, fields)`` rows, lazily."""
-    return score_requests(requests, exercises, load_models(spark, model_path), messages)
+    return score_requests(
+        requests, exercises, load_models(spark, model_path, [e.model for e in exercises]), messages
+    )

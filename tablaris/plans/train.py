@@ -14,12 +14,17 @@ from tablaris.operators.ordering import WINDOW_ROWS
 from tablaris.operators.regression import (
     LinearModel,
     Moments,
+    coefficient_signs,
+    coefficient_table,
     cross_validate,
+    equation,
     evaluate_moments,
     moments_by,
+    performance_band,
     solve,
 )
 from tablaris.operators.split import train_test_split
+from tablaris.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -57,6 +62,19 @@ class TrainReport:
             for i, (f, s) in enumerate(slopes.items())
         }
 
+    def by_impact(self) -> list[str]:
+        """Features by absolute coefficient, largest first, ties by name."""
+        size = dict(zip(self.model.features, map(abs, self.model.coefficients)))
+        return sorted(size, key=lambda f: (-size[f], f))
+
+    def explanation(self, spark: SparkSession) -> DataFrame:
+        """The report in words: equation, direction of each feature, and grade."""
+        table = coefficient_table(spark, self.model)
+        equations = equation(table).select(F.lit("equation").alias("about"), F.col("equation").alias("text"))
+        signs = coefficient_signs(table).select(F.concat(F.lit("effect_"), "term").alias("about"), F.col("effect").alias("text"))
+        grade = performance_band(spark.createDataFrame([(float(self.r2),)], "r2 double"))
+        return equations.union(signs).union(grade.select(F.lit("band").alias("about"), F.col("band").alias("text")))
+
     def summary(self, spark: SparkSession) -> DataFrame:
         """The report as rows of metric and value."""
         rows = [
@@ -72,6 +90,9 @@ class TrainReport:
             ("cv_mse", math.fsum(s[2] for s in self.folds) / len(self.folds)),
             ("cv_r2", math.fsum(s[3] for s in self.folds) / len(self.folds)),
             *[(f"correlation_{f}", self.correlations()[f, self.model.target]) for f in self.model.features],
+            *[(f"correlation_{a}_{b}", r) for (a, b), r in self.correlations().items() if a < b],
+            *[(f"impact_rank_{f}", rank) for rank, f in enumerate(self.by_impact(), 1)],
+            *[(f"sign_{f}", (c > 0) - (c < 0)) for f, c in zip(self.model.features, self.model.coefficients)],
             *[(f"trend_{f}", slope) for f, (slope, _) in self.trends().items()],
         ]
         return spark.createDataFrame(
@@ -119,7 +140,8 @@ def train(
     take their edges and one more pass.
     """
     order = list(order_by or keys)
-    data = prepare(df, features, label, [*keys, *order])
+    # The source is read once; every later pass scans these few columns.
+    data = stage(prepare(df, features, label, [*keys, *order]), "prepared")
     split = train_test_split(data, keys, test_share, seed, exact_split)
     parts = moments_by(split, features, label, "is_test")
     if set(parts) != {0, 1}:

@@ -2,31 +2,95 @@
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablaris.functions.names import normalize_name
+
+
+# Files whose first lines are fetched at a time.
+READERS = 16
+
+
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by header, as written; only each file's first line is read.
+
+    Files without any line are left out. A header must not hold a line break.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def header(file: str) -> tuple[str, ...]:
+        where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = where.getFileSystem(conf).open(where)
+        try:
+            codec = codecs.getCodec(where)
+            text = codec.createInputStream(stream) if codec else stream
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        return tuple(next(csv.reader([line.removeprefix("\ufeff")]), [])) if line else ()
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Header names exactly as written, before the reader renames clashes."""
-    first = spark.read.option("header", False).option("mode", "PERMISSIVE").csv(path).head()
-    return [name or "" for name in first] if first else []
+    files = sorted(spark.read.text(path).inputFiles())
+    found: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(READERS) as pool:
+        for file, names in zip(files, pool.map(header, files)):
+            if names:
+                found.setdefault(names, []).append(file)
+    return found
 
 
 def scan_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> tuple[DataFrame, list[str]]:
-    """Rows of a headed CSV and its raw header.
+    """Rows of a headed CSV file or folder and its raw header.
 
     Without ``schema`` every column is text, named by position. Short rows are
-    padded with NULL, surplus fields cut, blank lines skipped.
+    padded with NULL, surplus fields cut, blank lines skipped. Files of a folder
+    may differ in their headers: columns are matched by normalized name, those
+    that only later files have come after the others, and a file's missing ones
+    are NULL. With ``schema`` all files must have one header.
     """
-    header = csv_header(spark, path)
-    if schema is None:
-        schema = T.StructType(
-            [T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))]
-        )
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-    return reader.csv(path), header
+    found = csv_headers(spark, path)
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    if schema is not None:
+        if len(found) > 1:
+            raise ValueError(f"files of {path} differ in their headers; one schema cannot fit them")
+        return reader.schema(schema).csv(path), list(next(iter(found), ()))
+
+    def positional(names: Sequence[str], files: list[str] | str) -> DataFrame:
+        return reader.schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])).csv(files)
+
+    if len(found) < 2:
+        header = list(next(iter(found), ()))
+        return positional(header, path), header
+    whole: list[str] = []
+    place: dict[tuple[str, int], int] = {}
+    layouts = []
+    for names in found:
+        seen: Counter[str] = Counter()
+        layout = {}
+        for position, name in enumerate(names):
+            key = (normalize_name(name), seen[normalize_name(name)])  # a repeated name is a column of its own
+            seen[key[0]] += 1
+            if key not in place:
+                place[key] = len(whole)
+                whole.append(name)
+            layout[place[key]] = position
+        layouts.append(layout)
+
+    def laid_out(names: tuple[str, ...], layout: dict[int, int]) -> DataFrame:
+        text = [F.col(f"_c{layout[i]}") if i in layout else F.lit(None).cast("string") for i in range(len(whole))]
+        return positional(names, found[names]).select(*[c.alias(f"_c{i}") for i, c in enumerate(text)])
+
+    return reduce(DataFrame.union, [laid_out(n, at) for n, at in zip(found, layouts)]), whole
 
 
 def scan_csv_inferred(spark: SparkSession, path: str) -> DataFrame:

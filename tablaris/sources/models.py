@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablaris.operators.regression import LinearModel, coefficient_table
 
 REQUIRED = ("model", "target", "term", "position", "coefficient")
-# A model table is fetched whole; beyond this many rows it is not a model table.
-MAX_ROWS = 100_000
 
 
 class ModelError(ValueError):
@@ -36,11 +37,14 @@ def read_model_table(spark: SparkSession, path: str) -> DataFrame:
     return table
 
 
-def models_from_table(table: DataFrame) -> dict[str, LinearModel]:
-    """Models by name, each checked to have exactly one intercept."""
-    rows = table.select(*REQUIRED).orderBy("model", "position").limit(MAX_ROWS + 1).collect()
-    if len(rows) > MAX_ROWS:
-        raise ModelError(f"more than {MAX_ROWS} rows: not a model table")
+def models_from_table(table: DataFrame, names: Sequence[str]) -> dict[str, LinearModel]:
+    """The named models that the table has, each checked to have exactly one intercept.
+
+    Only their rows are read (the filter reaches the Parquet scan) and fetched, one
+    for each term, however many models the table holds.
+    """
+    wanted = table.select(*REQUIRED).where(F.col("model").isin(list(names)))
+    rows = wanted.orderBy("model", "position").collect()
     grouped: dict[str, list] = {}
     for row in rows:
         grouped.setdefault(row["model"], []).append(row)
@@ -58,5 +62,5 @@ def models_from_table(table: DataFrame) -> dict[str, LinearModel]:
     return models
 
 
-def load_models(spark: SparkSession, path: str) -> dict[str, LinearModel]:
-    return models_from_table(read_model_table(spark, path))
+def load_models(spark: SparkSession, path: str, names: Sequence[str]) -> dict[str, LinearModel]:
+    return models_from_table(read_model_table(spark, path), names)

@@ -6,51 +6,57 @@ needs and a lost executor costs no recomputation of what came before.
 
 from __future__ import annotations
 
-import tempfile
+import contextvars
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_run: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("staged", default=None)
 
-def staging_root(spark: SparkSession) -> str:
-    """Folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
-    """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+def staging_root(spark: SparkSession) -> str:
+    """Folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not context.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tablaris-")
-    context.setCheckpointDir(root)
-    return root
+    return f"{warehouse}/_staged"
 
 
-_staged: list[str] = []
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end, also after a failure.
+
+    Only tables of this run go, not those of others in the same process. Frames
+    that read them cannot be used afterwards, so sinks belong inside. Outside any
+    run the caller of a query owns its staged tables.
+    """
+    paths: list[str] = []
+    token = _run.set(paths)
+    try:
+        yield
+    finally:
+        _run.reset(token)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        conf = spark._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = hadoop.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder, remembered for :func:`discard_staged`."""
+    """A fresh folder, remembered by the run it is made in."""
     path = f"{staging_root(spark)}/tablaris/{label}-{uuid.uuid4().hex}"
-    _staged.append(path)
+    paths = _run.get()
+    if paths is not None:
+        paths.append(path)
     return path
 
 
-def discard_staged(spark: SparkSession) -> None:
-    """Delete what this process has staged so far.
-
-    For the end of a job, when its results are in their sinks: lazy frames that
-    read a staged table cannot be used afterwards.
-    """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    conf = spark._jsc.hadoopConfiguration()
-    while _staged:
-        path = hadoop.Path(_staged.pop())
-        path.getFileSystem(conf).delete(path, True)
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
     spark = df.sparkSession

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -17,6 +17,8 @@ class Field:
     kind: str = "double"
     aliases: tuple[str, ...] = ()
     decimal_comma: bool = True
+    # Not required: an unreadable or forbidden value becomes NULL and the row stays.
+    required: bool = True
 
     @property
     def data_type(self) -> T.DataType:
@@ -82,6 +84,11 @@ class CleanSpec:
     fence: float = 1.5
     labels: Labels = field(default_factory=Labels)
 
+    def optional(self, *columns: str) -> CleanSpec:
+        """The same cleaning, with missing values in ``columns`` to be imputed, not rejected."""
+        fields = tuple(replace(f, required=f.required and f.name not in columns) for f in self.fields)
+        return replace(self, fields=fields)
+
     @property
     def names(self) -> list[str]:
         return [f.name for f in self.fields]

@@ -8,7 +8,7 @@ from tablaris.jobs import train as train_job
 from tablaris.plans.clean import clean
 from tablaris.plans.presets import DOLLAR, ENERGY, GLUCOSE
 from tablaris.sources.models import load_models
-from tablaris.sources.staging import discard_staged, stage, staging_root
+from tablaris.sources.staging import stage, staged_run, staging_root
 
 DAYS = """ Día ,Inflación,TASA de  interés,Precio del dólar!,extra
 1,"0,01",5.0,4000,x
@@ -141,17 +141,29 @@ def test_training_job(spark, tmp_path):
         ["--input", str(tmp_path / "in"), "--features", "x,z", "--label", "y", "--keys", "id", "--name", "m",
          "--model-out", str(tmp_path / "m"), "--summary-out", str(tmp_path / "s")]
     )
-    model = load_models(spark, str(tmp_path / "m"))["m"]
+    model = load_models(spark, str(tmp_path / "m"), ["m"])["m"]
     assert model.coefficients == pytest.approx((3, -1))
     assert spark.read.parquet(str(tmp_path / "s")).where("metric = 'r2'").first()["value"] == pytest.approx(1)
 
 
-def test_staged_tables_are_discarded_on_request(spark):
-    staged = stage(spark.range(10), "trial")
-    path = staged.inputFiles()[0].rsplit("/", 1)[0]
-    assert staging_root(spark).removeprefix("file:") in path
-    assert staged.count() == 10
-    discard_staged(spark)
-    fs = spark._jvm.org.apache.hadoop.fs
-    folder = fs.Path(path)
-    assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+def test_a_run_deletes_what_it_staged_and_nothing_else(spark):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+
+    def there(df) -> bool:
+        folder = hadoop.Path(path[df].rsplit("/", 1)[0])
+        return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+    path = {}
+    outside = stage(spark.range(10), "trial")
+    path[outside] = outside.inputFiles()[0]
+    assert staging_root(spark).removeprefix("file:") in path[outside]
+    with staged_run(spark):
+        outer = stage(spark.range(10), "trial")
+        path[outer] = outer.inputFiles()[0]
+        with pytest.raises(ZeroDivisionError), staged_run(spark):
+            inner = stage(spark.range(10), "trial")
+            path[inner] = inner.inputFiles()[0]
+            assert there(inner)
+            1 / 0
+        assert not there(inner) and there(outer)
+    assert not there(outer) and there(outside)

@@ -82,22 +82,22 @@ def test_named_features(spark):
 def test_models_survive_storage(spark, tmp_path):
     path = str(tmp_path / "models")
     save_models(spark, [DOLAR, GLUCOSA], path)
-    assert load_models(spark, path) == {"dolar": DOLAR, "glucosa": GLUCOSA}
+    assert load_models(spark, path, ["dolar", "glucosa", "absent"]) == {"dolar": DOLAR, "glucosa": GLUCOSA}
     requests = spark.createDataFrame([(1, "dolar", GOOD)], SCHEMA)
     assert score_with_stored_models(spark, requests, path, EXERCISES, MESSAGES).first()["value"] == 66.0
 
 
 def test_bad_model_tables_are_refused(spark, tmp_path):
     with pytest.raises(ModelError):
-        load_models(spark, str(tmp_path / "nowhere"))
+        load_models(spark, str(tmp_path / "nowhere"), ["a", "dolar", "m", "x"])
     spark.range(1).write.parquet(str(tmp_path / "other"))
     with pytest.raises(ModelError, match="lacks"):
-        load_models(spark, str(tmp_path / "other"))
+        load_models(spark, str(tmp_path / "other"), ["a", "dolar", "m", "x"])
     save_models(spark, [DOLAR], str(tmp_path / "whole"))
     holed = spark.read.parquet(str(tmp_path / "whole")).where("position <> 1")
     holed.write.parquet(str(tmp_path / "holed"))
     with pytest.raises(ModelError, match="incomplete"):
-        load_models(spark, str(tmp_path / "holed"))
+        load_models(spark, str(tmp_path / "holed"), ["a", "dolar", "m", "x"])
 
 
 def test_stream_of_requests(spark, tmp_path):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tablaris.operators.dedup import drop_exact, ingest_order, keep_first
 from tablaris.operators.gapfill import fill_gaps, fill_gaps_per_entity, key_bounds
-from tablaris.operators.impute import impute, tie_break
-from tablaris.operators.ordering import cut_by_rank, neighbours, row_positions
+from tablaris.operators.impute import impute
+from tablaris.operators.ordering import cut_by_rank, neighbours, row_positions, total_order
 
 
 def physical(df):
@@ -93,9 +93,9 @@ def test_known_values_are_left_alone_and_cost_no_window(spark):
     assert sorted(out.collect()) == [(1, 1.0, 0), (2, 2.0, 0)]
 
 
-def test_tie_break_extends_the_order(spark):
+def test_total_order_extends_the_order(spark):
     df = spark.createDataFrame([], "g int, o int, a double, b double")
-    assert tie_break(df, ["o"], ["g"]) == ["o", "a", "b"]
+    assert total_order(df, ["o"], ["g"]) == ["o", "a", "b"]
 
 
 @pytest.fixture(scope="module")

@@ -136,6 +136,20 @@ def cleaned_rows(typed: str, rule: str, first: str, second: str, others: str) ->
      FROM valid, fa, fb"""
 
 
+def imputed_rows(typed: str, rule: str, first: str, second: str, order: str, group: str) -> str:
+    """As :func:`cleaned_rows`, with NULLs imputed in the group's order, ties by the figures."""
+    whole = f"{order}, {first} NULLS FIRST, {second} NULLS FIRST"
+    return f"""WITH typed AS ({typed}), valid AS (SELECT DISTINCT * FROM typed WHERE {rule}),
+     seen AS (SELECT *, {carried(first, whole, group)}, {carried(second, whole, group)} FROM valid),
+     filled AS (SELECT {order}, {group}, CAST({first} IS NULL AS INTEGER) AS i1, CAST({second} IS NULL AS INTEGER) AS i2,
+       {imputed(first)} AS {first}, {imputed(second)} AS {second} FROM seen),
+     fa AS ({limits(first, "filled")}), fb AS ({limits(second, "filled")})
+     SELECT round({capped(first, "fa")}, 4) AS {first}, round({capped(second, "fb")}, 4) AS {second},
+       {order}, {group}, i1 AS imputado_{first}, i2 AS imputado_{second},
+       {outside(first, "fa")} AS outlier_{first}, {outside(second, "fb")} AS outlier_{second}
+     FROM filled, fa, fb"""
+
+
 def fence_row(column: str) -> str:
     return f"""SELECT '{column}' AS "column", round(q1, 4) AS q1, round(q3, 4) AS q3,
       round(low, 4) AS low, round(high, 4) AS high FROM ({limits(column, "lineitem")})"""
@@ -166,6 +180,18 @@ VALID_LINE = "l_quantity BETWEEN 1 AND 40 AND l_discount <= 0.08 AND l_orderkey
 
 FENCED_EVENTS = f"WITH f AS ({limits('value', 'events')})"
 
+# Fit on the training lines and scores on the others.
+SPLIT_FIT = f"""lines AS (SELECT *, {CHARGE} AS charge,
+        CAST(substr(md5(concat_ws(':', l_orderkey, l_partkey, l_suppkey, l_linenumber) || ':42'), 1, 8)
+          < '33333333' AS INTEGER) AS is_test FROM lineitem),
+      train_lines AS (SELECT * FROM lines WHERE is_test = 0),
+      train_moments AS ({moments("train_lines", tuple(FEATURES), "charge")}),
+      fit AS ({coefficients("train_moments")}),
+      residuals AS (SELECT charge, b0 + b1 * l_extendedprice + b2 * l_discount + b3 * l_tax AS p
+        FROM lines, fit WHERE is_test = 1),
+      metrics AS (SELECT count(*) AS n, avg((charge - p) * (charge - p)) AS mse,
+        1 - avg((charge - p) * (charge - p)) / var_pop(charge) AS r2 FROM residuals)"""
+
 METRIC_ROWS = union(
     [
         "SELECT 'train_rows' AS metric, CAST(n AS DOUBLE) AS value FROM train_moments",
@@ -181,13 +207,24 @@ METRIC_ROWS = union(
         "SELECT 'cv_r2', avg(r2) FROM fold_scores",
         *[f"SELECT 'correlation_{f}', corr({f}, charge) FROM lines" for f in FEATURES],
         *[f"SELECT 'trend_{f}', regr_slope(charge, {f}) FROM lines" for f in FEATURES],
+        *[
+            f"SELECT 'correlation_{a}_{b}', corr({a}, {b}) FROM lines"
+            for a in [*FEATURES, "charge"]
+            for b in [*FEATURES, "charge"]
+            if a < b
+        ],
+        *[f"SELECT 'sign_{f}', sign(b{i}) FROM fit" for i, f in enumerate(FEATURES, 1)],
+        "SELECT 'impact_rank_' || term, row_number() OVER (ORDER BY abs(c) DESC, term) FROM ("
+        + union([f"SELECT '{f}' AS term, b{i} AS c FROM fit" for i, f in enumerate(FEATURES, 1)])
+        + ")",
     ]
 )
 
 REQUESTS = """requests AS (SELECT o_orderkey AS request_id,
   CASE o_orderkey % 5 WHEN 0 THEN 'dolar' WHEN 2 THEN 'energia' WHEN 3 THEN 'euro' ELSE 'glucosa' END AS exercise,
   CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey % 50 AS DOUBLE) END AS v1,
-  CASE WHEN o_orderkey % 11 <> 0 THEN (o_orderkey % 10) / 100.0 END AS v2,
+  CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN 0.01
+    ELSE (o_orderkey % 10) / 100.0 END AS v2,
   CASE WHEN o_orderkey % 13 <> 0 THEN (o_orderkey % 8) / 100.0 END AS v3 FROM orders)"""
 
 LABELS = """labels_(exercise, l1, l2, l3, title, target) AS (VALUES
@@ -308,6 +345,10 @@ ORACLES: dict[str, str] = {
     "clean_daily_series": f"""WITH {SERIES} SELECT day, round(total, 4) AS total,
       round(orders, 4) AS orders, inserted, imputed_total, imputed_orders, outlier_total,
       outlier_orders FROM cleaned ORDER BY day""",
+    "clean_csv_daily": f"""WITH {SERIES}
+      SELECT 'parquet' AS sink, CAST(day AS BIGINT) AS day, round(total, 4) AS total FROM cleaned
+      UNION ALL SELECT 'csv', CAST(day AS BIGINT), round(total, 4) FROM cleaned
+      UNION ALL SELECT 'report', (SELECT count(*) FROM cleaned), CAST((SELECT count(*) FROM days WHERE {LOST}) AS DOUBLE)""",
     "quality_report": f"""WITH {SERIES}
       SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM raw) AS typed_rows,
         (SELECT count(*) FROM raw WHERE {LOST}) AS invalid_rows,
@@ -341,6 +382,28 @@ ORACLES: dict[str, str] = {
         "edad, actividad_fisica",
     )
     + " ORDER BY edad, actividad_fisica",
+    "clean_readings_imputed": imputed_rows(
+        """SELECT CASE WHEN event_id % 6 <> 0 THEN CAST(round(value * 100) AS BIGINT) / 100.0 END AS temperatura,
+           CAST(extract(hour FROM ts) AS INTEGER) AS hora, CAST(isodow(ts) AS INTEGER) AS dia_semana,
+           CASE WHEN event_id % 9 <> 0 THEN user_id * 7 / 100.0 END AS consumo_energia FROM events""",
+        "hora BETWEEN 1 AND 24 AND dia_semana BETWEEN 1 AND 7",
+        "temperatura",
+        "consumo_energia",
+        "hora",
+        "dia_semana",
+    ),
+    "clean_measurements_imputed": imputed_rows(
+        """SELECT edad, actividad_fisica, CASE WHEN imc BETWEEN 1 AND 45 THEN imc END AS imc,
+             CASE WHEN nivel_glucosa BETWEEN 20 AND 600 THEN nivel_glucosa END AS nivel_glucosa FROM (
+           SELECT CAST(l_suppkey % 130 AS INTEGER) AS edad, l_quantity AS imc,
+             CAST(round(l_tax * 100) AS INTEGER) AS actividad_fisica,
+             (CAST(round(l_extendedprice * 100) AS BIGINT) // 100) / 100.0 AS nivel_glucosa FROM lineitem)""",
+        "edad BETWEEN 0 AND 120 AND actividad_fisica BETWEEN 0 AND 24",
+        "imc",
+        "nivel_glucosa",
+        "edad",
+        "actividad_fisica",
+    ),
     "train_test_split": """WITH h AS (SELECT o_orderkey, md5(o_orderkey || ':42') AS h FROM orders)
       SELECT o_orderkey, CAST(substr(h, 1, 8) < '33333333' AS INTEGER) AS is_test,
         CAST(row_number() OVER (ORDER BY substr(h, 1, 15), o_orderkey)
@@ -364,17 +427,21 @@ ORACLES: dict[str, str] = {
     "cross_validate": f"""WITH {FIT}, {FOLDED} SELECT fold, n, round(mse, 3) AS mse, round(r2, 6) AS r2
       FROM fold_scores UNION ALL SELECT NULL, CAST(sum(n) AS BIGINT), round(avg(mse), 3),
       round(avg(r2), 6) FROM fold_scores""",
-    "train_report": f"""WITH lines AS (SELECT *, {CHARGE} AS charge,
-        CAST(substr(md5(concat_ws(':', l_orderkey, l_partkey, l_suppkey, l_linenumber) || ':42'), 1, 8)
-          < '33333333' AS INTEGER) AS is_test FROM lineitem),
-      train_lines AS (SELECT * FROM lines WHERE is_test = 0),
-      train_moments AS ({moments("train_lines", tuple(FEATURES), "charge")}),
-      fit AS ({coefficients("train_moments")}),
-      residuals AS (SELECT charge, b0 + b1 * l_extendedprice + b2 * l_discount + b3 * l_tax AS p
-        FROM lines, fit WHERE is_test = 1),
-      metrics AS (SELECT count(*) AS n, avg((charge - p) * (charge - p)) AS mse,
-        1 - avg((charge - p) * (charge - p)) / var_pop(charge) AS r2 FROM residuals),
+    "train_report": f"""WITH {SPLIT_FIT},
       {FOLDED} SELECT metric, round(value, 3) AS value FROM ({METRIC_ROWS})""",
+    "train_explained": f"""WITH {SPLIT_FIT}
+      SELECT 'equation' AS about, printf(
+        'charge = %.4f + (%.4f * l_extendedprice) + (%.4f * l_discount) + (%.4f * l_tax)', b0, b1, b2, b3) AS text FROM fit
+      UNION ALL SELECT 'effect_' || term, CASE WHEN c > 0 THEN 'positive' WHEN c < 0 THEN 'negative' ELSE 'none' END FROM ("""
+    + union([f"SELECT '{f}' AS term, b{i} AS c FROM fit" for i, f in enumerate(FEATURES, 1)])
+    + """) UNION ALL SELECT 'band', CASE WHEN r2 >= 0.8 THEN 'good' WHEN r2 >= 0.5 THEN 'acceptable' ELSE 'low' END FROM metrics""",
+    "correlation_wide": """WITH e AS (SELECT vec_id, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings)
+      SELECT 'e' || a.i AS variable_a, 'e' || b.i AS variable_b, round(corr(a.x, b.x), 6) AS r
+      FROM e a JOIN e b USING (vec_id) GROUP BY a.i, b.i""",
+    "describe_decimal": """SELECT 'price' AS "column", count(*) AS count, round(avg(o_totalprice), 4) AS mean,
+      round(stddev_samp(o_totalprice), 4) AS std, min(o_totalprice) AS min, round(quantile_cont(o_totalprice, 0.25), 4) AS q25,
+      round(quantile_cont(o_totalprice, 0.5), 4) AS q50, round(quantile_cont(o_totalprice, 0.75), 4) AS q75,
+      max(o_totalprice) AS max FROM orders""",
     "model_table_roundtrip": f"""WITH {FIT}, {TERMS} SELECT 'charge' AS model, 'charge' AS target,
       term, CAST(position AS INTEGER) AS position, round(coefficient, 4) AS coefficient FROM terms""",
     "score_table": f"""WITH {FIT}, {SHORT} SELECT l_orderkey, l_partkey, l_linenumber,
@@ -396,11 +463,18 @@ ORACLES: dict[str, str] = {
         WHEN r.exercise = 'energia' THEN 'No se pudieron mapear variables del modelo: humedad'
         END AS error FROM requests r LEFT JOIN labels_ l ON r.exercise = l.exercise)
       SELECT request_id, exercise, error, CASE WHEN error IS NULL THEN title END AS title,
-        CASE WHEN error IS NULL THEN exercise END AS model,
+        CASE WHEN error IS NULL THEN CASE exercise WHEN 'glucosa' THEN 'Glucosa II' ELSE exercise END END AS model,
         CASE WHEN error IS NULL THEN target END AS target,
         CASE WHEN error IS NULL THEN round(b0 + v1 * b1 + v2 * b2 + v3 * b3, 6) END AS value
       FROM judged, short""",
 }
 # The same questions, asked so that the large-table paths answer them.
 ORACLES["quartiles_narrowed"] = ORACLES["quartiles_exact"]
+ORACLES["impute_grouped_ties"] = f"""WITH r AS (SELECT event_id, CAST(isodow(ts) AS INTEGER) AS day,
+    CAST(extract(hour FROM ts) AS INTEGER) AS hour,
+    CASE WHEN event_id % 5 <> 0 THEN CAST(round(value * 100) AS BIGINT) / 100.0 END AS reading FROM events),
+  seen AS (SELECT *, {carried("reading", "hour, event_id", "day")} FROM r)
+  SELECT event_id, day, hour, round({imputed("reading")}, 4) AS reading,
+    CAST(reading IS NULL AS INTEGER) AS imputed_reading FROM seen"""
+ORACLES["impute_grouped_ties_sliced"] = ORACLES["impute_grouped_ties"]
 ORACLES["impute_grouped_sliced"] = ORACLES["impute_grouped"]

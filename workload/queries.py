@@ -9,11 +9,12 @@ digits than a product of inputs can have where it could end in a tie.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablaris.functions.parse import parse_double, parse_int, parse_number
+from tablaris.functions.parse import parse_double, parse_int, parse_number, trimmed
 from tablaris.operators import conform as schema
 from tablaris.operators import dedup, gapfill, ordering, outliers, quantiles, regression, stats
 from tablaris.operators.impute import impute
@@ -21,7 +22,7 @@ from tablaris.operators.regression import LinearModel
 from tablaris.operators.scoring import score_named, score_requests
 from tablaris.operators.split import train_test_split
 from tablaris.operators.validate import drop_nulls, is_valid, keep_valid, validity_counts
-from tablaris.plans.clean import CleanResult, clean
+from tablaris.plans.clean import CleanResult, clean, clean_csv
 from tablaris.plans.presets import ENERGY, EXERCISES, GLUCOSE, MESSAGES
 from tablaris.plans.train import train
 from tablaris.sources import csv, tables
@@ -297,6 +298,26 @@ def impute_grouped_sliced(spark: SparkSession, data: str) -> DataFrame:
     return impute_lines(spark, data, 10_000)
 
 
+def impute_hourly(spark: SparkSession, data: str, window_rows: int) -> DataFrame:
+    """Readings by weekday and hour: 24 order values, so nearly all rows are tied."""
+    readings = table(spark, data, "events").select(
+        "event_id",
+        (F.weekday("ts") + 1).alias("day"),
+        F.hour("ts").alias("hour"),
+        F.when(F.col("event_id") % 5 != 0, cents("value") / 100.0).alias("reading"),
+    )
+    return rounded(impute(readings, ["reading"], ["hour"], ["day"], window_rows=window_rows), "reading")
+
+
+def impute_grouped_ties(spark: SparkSession, data: str) -> DataFrame:
+    return impute_hourly(spark, data, ordering.WINDOW_ROWS)
+
+
+def impute_grouped_ties_sliced(spark: SparkSession, data: str) -> DataFrame:
+    """The same with groups cut into slices, as happens to large ones."""
+    return impute_hourly(spark, data, 500)
+
+
 # Quantiles and outliers
 
 
@@ -415,6 +436,29 @@ def quality_report(spark: SparkSession, data: str) -> DataFrame:
     )
 
 
+def clean_csv_daily(spark: SparkSession, data: str) -> DataFrame:
+    """Days from CSV files of two layouts to Parquet, CSV and a JSON report, read back.
+
+    One row for each day of either sink and one for the report.
+    """
+    day = F.unix_date(F.to_date("o_orderdate")).alias("d")
+    daily = table(spark, data, "orders").groupBy(day).agg(F.sum(cents("o_totalprice")).alias("c"), F.count(F.lit(1)).alias("n"))
+    lost = (F.col("d") % 7 == 3) | F.col("d").between(9500, 9529)
+    total = F.when(lost, F.lit("n/a")).otherwise(money_text(F.col("c"))).alias("Order  total")
+    number = F.concat(F.lit(" "), F.col("n").cast("string")).alias("Number of Orders")
+    rows = stage(daily.select(F.col("d").cast("string").alias("day"), total, number, F.col("d").alias("d")), "csv-days")
+    source, target = staging_path(spark, "csv-in"), staging_path(spark, "csv-out")
+    plain = rows.drop("d")
+    csv.write_csv(plain.where(rows["d"] % 2 == 0), f"{source}/layout=a")
+    csv.write_csv(plain.where(rows["d"] % 2 != 0).select(*plain.columns[::-1]), f"{source}/layout=b")
+    report = f"{target}/report"
+    clean_csv(spark, f"{source}/*", target, report, replace(SERIES, ingest_order=()))
+    parquet = spark.read.parquet(f"{target}/parquet").select(F.lit("parquet").alias("sink"), F.col("day").cast("long").alias("day"), "total")
+    back = csv.scan_csv_inferred(spark, f"{target}/csv").select(F.lit("csv").alias("sink"), F.col("day").cast("long").alias("day"), "total")
+    said = spark.read.json(report).select(F.lit("report").alias("sink"), F.col("final_rows").alias("day"), F.col("invalid_rows").cast("double").alias("total"))
+    return rounded(parquet.union(back).union(said), "total")
+
+
 def clean_readings(spark: SparkSession, data: str) -> DataFrame:
     """Events as hourly readings; midnight readings break the hour rule."""
     events = table(spark, data, "events")
@@ -439,6 +483,32 @@ def clean_measurements(spark: SparkSession, data: str) -> DataFrame:
     return rounded(clean(raw, GLUCOSE).data, "imc", "nivel_glucosa")
 
 
+def clean_readings_imputed(spark: SparkSession, data: str) -> DataFrame:
+    """Readings whose unreadable and absent figures are imputed within the weekday."""
+    key = F.col("event_id")
+    raw = table(spark, data, "events").select(
+        F.when(key % 6 == 0, F.lit("n/a")).otherwise(money_text(cents("value"))).alias("Temperature"),
+        F.hour("ts").cast("string").alias("HOUR"),
+        (F.weekday("ts") + 1).cast("string").alias("Día de semana"),
+        F.when(key % 9 != 0, money_text(F.col("user_id") * 7, ".")).alias("Energy consumption"),
+    )
+    spec = ENERGY.optional("temperatura", "consumo_energia")
+    return rounded(clean(raw, spec).data, "temperatura", "consumo_energia")
+
+
+def clean_measurements_imputed(spark: SparkSession, data: str) -> DataFrame:
+    """Measurements where figures that are unreadable or break a rule are imputed by activity."""
+    quantity = F.col("l_quantity").cast("int")
+    raw = table(spark, data, "lineitem").select(
+        (F.col("l_suppkey") % 130).cast("string").alias("Age"),
+        F.when(quantity > 45, F.lit("?")).otherwise(quantity.cast("string")).alias("BMI"),
+        F.round(F.col("l_tax") * 100).cast("int").cast("string").alias("Physical activity"),
+        money_text(F.floor(cents("l_extendedprice") / 100)).alias("Glucose Level"),
+    )
+    spec = GLUCOSE.optional("imc", "nivel_glucosa")
+    return rounded(clean(raw, spec).data, "imc", "nivel_glucosa")
+
+
 # Regression
 
 
@@ -500,6 +570,25 @@ def train_report(spark: SparkSession, data: str) -> DataFrame:
     return rounded(report.summary(spark), "value", digits=3)
 
 
+def train_explained(spark: SparkSession, data: str) -> DataFrame:
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    return train(charges(spark, data), FEATURES, LABEL, keys, LINE_KEY, "charge").explanation(spark)
+
+
+def correlation_wide(spark: SparkSession, data: str) -> DataFrame:
+    """Each of the 64 components of the embeddings with each other one."""
+    vectors = table(spark, data, "embeddings")
+    parts = [F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)]
+    matrix = stats.correlation_matrix(vectors.select(*parts), [f"e{i}" for i in range(64)])
+    return rounded(matrix, "r", digits=6)
+
+
+def describe_decimal(spark: SparkSession, data: str) -> DataFrame:
+    price = (cents("o_totalprice") / 100).cast("decimal(38,2)").alias("price")
+    summary = stats.describe(table(spark, data, "orders").select(price), ["price"])
+    return rounded(summary.withColumn("mean", F.col("mean").cast("double")), "mean", "std", "q25", "q50", "q75")
+
+
 # Scoring
 
 
@@ -525,7 +614,7 @@ def model_table_roundtrip(spark: SparkSession, data: str) -> DataFrame:
 
 
 def score_table(spark: SparkSession, data: str) -> DataFrame:
-    model = load_models(spark, stored_charge_model(spark, data))["charge"]
+    model = load_models(spark, stored_charge_model(spark, data), ["charge"])["charge"]
     scored = regression.predict(table(spark, data, "lineitem"), model)
     kept = ["l_orderkey", "l_partkey", "l_linenumber", *FEATURES, "prediction"]
     return rounded(scored.select(*kept), "prediction", digits=6)
@@ -533,7 +622,7 @@ def score_table(spark: SparkSession, data: str) -> DataFrame:
 
 def score_named_features(spark: SparkSession, data: str) -> DataFrame:
     """The same model on columns that only agree with it after normalization."""
-    model = load_models(spark, stored_charge_model(spark, data))["charge"]
+    model = load_models(spark, stored_charge_model(spark, data), ["charge"])["charge"]
     lines = table(spark, data, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
@@ -564,30 +653,36 @@ def exercise_models(spark: SparkSession, data: str) -> dict[str, LinearModel]:
     }
     columns = ["l_quantity", "l_discount", "l_tax"]
     base = with_short_numbers(regression.fit(lines, columns, LABEL))
-    return {
+    models = {
         key: LinearModel(tuple(names[:3]), names[3], base.intercept, base.coefficients, key)
         for key, names in renames.items()
     }
+    # One has a display name of its own and leaves the target to the exercise.
+    models["glucosa"] = replace(models["glucosa"], display="Glucosa II", target="")
+    return models
 
 
 def scoring_requests(spark: SparkSession, data: str) -> DataFrame:
     """One request per order, with every kind of mistake among them."""
     key, kind = F.col("o_orderkey"), F.col("o_orderkey") % 5
-    first = F.when(key % 7 == 0, F.lit("  ")).otherwise((key % 50).cast("string"))
-    second = F.when(key % 11 == 0, F.lit("abc")).otherwise(
-        F.concat(F.lit(" 0.0"), (key % 10).cast("string"))
+    first = F.when(key % 7 == 0, F.lit(" \t\n")).otherwise((key % 50).cast("string"))
+    second = (
+        F.when(key % 11 == 0, F.lit("abc"))
+        .when(key % 17 == 0, F.lit("1d"))
+        .when(key % 19 == 0, F.lit("\t1e-2 "))
+        .otherwise(F.concat(F.lit(" 0.0"), (key % 10).cast("string")))
     )
     third = F.when(key % 13 == 0, F.lit(None)).otherwise(
         F.concat(F.lit("0.0"), (key % 8).cast("string"))
     )
     exercise = (
         F.when(kind == 0, F.lit("dolar"))
-        .when(kind == 1, F.lit(" glucosa "))
+        .when(kind == 1, F.lit("\tglucosa "))
         .when(kind == 2, F.lit("energia"))
         .when(kind == 3, F.lit("euro"))
         .otherwise(F.lit("glucosa"))
     )
-    plain = F.trim(exercise)
+    plain = trimmed(exercise)
 
     def form(*names: str) -> Column:
         pairs = [x for name, v in zip(names, (first, second, third)) for x in (F.lit(name), v)]
@@ -636,6 +731,8 @@ QUERIES: dict[str, Query] = {
     "impute_global": impute_global,
     "impute_grouped": impute_grouped,
     "impute_grouped_sliced": impute_grouped_sliced,
+    "impute_grouped_ties": impute_grouped_ties,
+    "impute_grouped_ties_sliced": impute_grouped_ties_sliced,
     "quartiles_exact": quartiles_exact,
     "quartiles_narrowed": quartiles_narrowed,
     "median_exact": median_exact,
@@ -645,8 +742,11 @@ QUERIES: dict[str, Query] = {
     "winsorize": winsorize,
     "clean_daily_series": clean_daily_series,
     "quality_report": quality_report,
+    "clean_csv_daily": clean_csv_daily,
     "clean_readings": clean_readings,
     "clean_measurements": clean_measurements,
+    "clean_readings_imputed": clean_readings_imputed,
+    "clean_measurements_imputed": clean_measurements_imputed,
     "train_test_split": split_orders,
     "ols_fit": ols_fit,
     "ols_equation": ols_equation,
@@ -656,6 +756,9 @@ QUERIES: dict[str, Query] = {
     "coefficient_impact": coefficient_impact,
     "cross_validate": cross_validate,
     "train_report": train_report,
+    "train_explained": train_explained,
+    "correlation_wide": correlation_wide,
+    "describe_decimal": describe_decimal,
     "model_table_roundtrip": model_table_roundtrip,
     "score_table": score_table,
     "score_named_features": score_named_features,
