@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,3 +168,25 @@ def test_a_run_deletes_what_it_staged_and_nothing_else(spark):
             1 / 0
         assert not there(inner) and there(outer)
     assert not there(outer) and there(outside)
+
+
+def test_optional_fields_are_imputed_in_their_group(spark):
+    raw = spark.createDataFrame(
+        [("20", "1", "1", "5"), ("x", "2", "1", "6"), ("30", "3", "1", None), ("n/a", "1", "2", "7"), ("10", "99", "2", "8")],
+        "Temperature string, HOUR string, day_of_week string, energy_consumption string",
+    )
+    result = clean(raw, ENERGY.optional("temperatura", "consumo_energia"))
+    rows = {(r.dia_semana, r.hora): r for r in result.data.collect()}
+    assert set(rows) == {(1, 1), (1, 2), (1, 3), (2, 1)}  # hour 99 breaks a rule of a required field
+    assert (rows[1, 2].temperatura, rows[1, 2].imputado_temperatura, rows[1, 3].consumo_energia) == (25.0, 1, 6.0)
+    assert (rows[2, 1].temperatura, rows[1, 1].imputado_temperatura) == (20.0, 0)  # no neighbour: the table's median
+    report = result.report().first()
+    assert report["imputaciones_por_columna"] == {"temperatura": 2, "consumo_energia": 1}
+    assert report[ENERGY.labels.nulls_before] == {"temperatura": 2, "consumo_energia": 1}
+    strict = clean(raw, ENERGY)
+    assert strict.data.count() == 1
+
+
+def test_gaps_and_groups_exclude_each_other(spark):
+    with pytest.raises(ValueError, match="exclude"):
+        clean(spark.createDataFrame([("1",)], "dia string"), replace(DOLLAR, group_by=("dia",)))
