@@ -190,7 +190,9 @@ def ngram_join(
     groups = components(paired(inside, ["tree", "key"], count, item).mapInArrow(link, "a long, b long"), "candidates")
     groups = stage(groups.join(classes.select(F.col("node"), "first", "weight", "n"), "node"), "candidates")
     mass = groups.groupBy("root").agg(F.greatest(F.ceil(F.sum("n") / weight), F.ceil(F.count("*") / members)).alias("blocks"))
-    texts = source.join(groups.join(mass, "root"), F.col("id").eqNullSafe(F.col("first")))
+    # The number of candidates grows with the corpus: one plan at every size, never a broadcast.
+    wanted = groups.join(mass, "root").hint("merge")
+    texts = source.join(wanted, F.col("id").eqNullSafe(F.col("first")))
 
     def reshingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
