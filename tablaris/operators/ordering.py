@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablaris.operators.quantiles import RANK_ROWS, order_statistics
 from tablaris.sources.staging import stage
@@ -193,10 +194,23 @@ def cut_by_rank(
     A row's ``out`` is how many of the ranks lie before its position. The
     first order column, a number, is cut by its exact order statistics, so no
     row is shuffled or sorted; only rows tied with a cut value are ranked by the
-    remaining columns. Rows without a first column have no position: they stay,
-    with NULL for ``out``.
+    remaining columns. Dates and timestamps count as numbers; for any other type
+    the rows are positioned in slices. Rows without a first column have no
+    position: they stay, with NULL for ``out``.
     """
     lead, *rest = order_by
+    kind = df.schema[lead].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        number = F.unix_date(lead) if isinstance(kind, T.DateType) else F.unix_micros(F.col(lead).cast("timestamp"))
+        numbered = df.withColumn("_lead", number.cast("long"))
+        return cut_by_rank(numbered, ["_lead", *rest], ranks, out, window_rows, rank_rows).drop("_lead")
+    if not isinstance(kind, T.NumericType):
+        known = df.where(F.col(lead).isNotNull())
+        rows = known.count()
+        placed = row_positions(known, order_by, out="_position", sizes=GroupSizes(rows, rows), window_rows=window_rows)
+        before = sum(((F.col("_position") > r).cast("int") for r in ranks(rows)), F.lit(0))
+        placed = placed.withColumn(out, before).drop("_position")
+        return placed.unionByName(df.where(F.col(lead).isNull()).withColumn(out, F.lit(None).cast("int")))
 
     def inside(n: int) -> list[int]:
         # Rank 0 cuts before everything and rank n after: neither needs a value.

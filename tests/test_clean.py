@@ -1,4 +1,5 @@
 import json
+import os
 from dataclasses import replace
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablaris.jobs import clean as clean_job
 from tablaris.jobs import train as train_job
-from tablaris.plans.clean import clean
+from tablaris.plans.clean import clean, clean_csv
 from tablaris.plans.presets import DOLLAR, ENERGY, GLUCOSE
 from tablaris.sources.models import load_models
 from tablaris.sources.staging import stage, staged_run, staging_root
@@ -190,3 +191,24 @@ def test_optional_fields_are_imputed_in_their_group(spark):
 def test_gaps_and_groups_exclude_each_other(spark):
     with pytest.raises(ValueError, match="exclude"):
         clean(spark.createDataFrame([("1",)], "dia string"), replace(DOLLAR, group_by=("dia",)))
+
+
+# FIXED VALUES: published limits and outlier counts of the daily series.
+PUBLISHED = {
+    "inflacion": (0.006469943659148013, 0.033189385983055285, 4),
+    "tasa_interes": (3.7573676331362282, 6.265740362485191, 5),
+    "precio_dolar": (2771.1235828138233, 7650.911674994488, 0),
+}
+
+
+@pytest.mark.skipif("TABLARIS_GOLDEN_CSV" not in os.environ, reason="needs the published series")
+@pytest.mark.parametrize("mode", ["exact", "approx"])
+def test_published_limits(spark, tmp_path, mode):
+    """The seven published figures: three pairs of limits' outlier counts and the rows."""
+    clean_csv(spark, os.environ["TABLARIS_GOLDEN_CSV"], str(tmp_path / "out"), str(tmp_path / "report"), DOLLAR, quantile_mode=mode)
+    report = spark.read.json(str(tmp_path / "report")).first()
+    for column, (low, high, count) in PUBLISHED.items():
+        found = report[DOLLAR.labels.outliers][column]
+        assert (found[DOLLAR.labels.low_limit], found[DOLLAR.labels.high_limit]) == pytest.approx((low, high), rel=1e-12)
+        assert found[DOLLAR.labels.detected] == count
+    assert report[DOLLAR.labels.final_rows] == 500

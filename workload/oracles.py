@@ -335,6 +335,13 @@ ORACLES: dict[str, str] = {
             for p in (0.25, 0.5, 0.75)
         ]
     ),
+    "quartiles_approx": union(
+        [
+            f"""SELECT '{c}' AS "column", CAST({p} AS DOUBLE) AS p, true AS within"""
+            for c in ("l_quantity", "l_extendedprice")
+            for p in (0.25, 0.75)
+        ]
+    ),
     "median_exact": """SELECT 'o_totalprice' AS "column", CAST(0.5 AS DOUBLE) AS p,
       quantile_disc(o_totalprice, 0.5) AS value FROM orders""",
     "iqr_bounds": union([fence_row(c) for c in ("l_quantity", "l_extendedprice", "l_tax")]),
@@ -429,6 +436,10 @@ ORACLES: dict[str, str] = {
       round(avg(r2), 6) FROM fold_scores""",
     "train_report": f"""WITH {SPLIT_FIT},
       {FOLDED} SELECT metric, round(value, 3) AS value FROM ({METRIC_ROWS})""",
+    "folds_by_date": """SELECT o_orderkey, CAST(ntile(5) OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS INTEGER) AS fold
+      FROM orders""",
+    "folds_by_text": """SELECT c_custkey, CAST(ntile(5) OVER (ORDER BY c_mktsegment, c_name) - 1 AS INTEGER) AS fold
+      FROM customer""",
     "train_explained": f"""WITH {SPLIT_FIT}
       SELECT 'equation' AS about, printf(
         'charge = %.4f + (%.4f * l_extendedprice) + (%.4f * l_discount) + (%.4f * l_tax)', b0, b1, b2, b3) AS text FROM fit

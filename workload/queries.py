@@ -341,9 +341,16 @@ def median_exact(spark: SparkSession, data: str) -> DataFrame:
 
 
 def quartiles_approx(spark: SparkSession, data: str) -> DataFrame:
-    return quantiles.quantile_table(
-        table(spark, data, "lineitem"), ["l_quantity", "l_extendedprice"], [0.25, 0.75], "approx"
-    )
+    """Whether each approximate quartile's rank is within a ten-thousandth of the rows."""
+    lines = table(spark, data, "lineitem")
+    found = quantiles.quantile_table(lines, ["l_quantity", "l_extendedprice"], [0.25, 0.75], "approx")
+    checks = []
+    for row in found.collect():  # four values
+        below, upto = (F.count_if(test(F.col(row["column"]), row["value"])) for test in (Column.__lt__, Column.__le__))
+        spot, slack = row["p"] * F.count(F.lit(1)), F.count(F.lit(1)) / 10_000 + 1
+        within = (below <= spot + slack) & (upto >= spot - slack)
+        checks.append(F.struct(F.lit(row["column"]).alias("column"), F.lit(row["p"]).alias("p"), within.alias("within")))
+    return lines.agg(F.array(*checks).alias("r")).select(F.inline("r"))
 
 
 def iqr_bounds(spark: SparkSession, data: str) -> DataFrame:
@@ -564,6 +571,17 @@ def cross_validate(spark: SparkSession, data: str) -> DataFrame:
     return rounded(rounded(found, "mse", digits=3), "r2", digits=6)
 
 
+def folds_by_date(spark: SparkSession, data: str) -> DataFrame:
+    """Folds in the order of a date, many orders to a day."""
+    folds = regression.assign_folds(table(spark, data, "orders"), ["o_orderdate", "o_orderkey"], 5)
+    return folds.select("o_orderkey", "fold")
+
+
+def folds_by_text(spark: SparkSession, data: str) -> DataFrame:
+    folds = regression.assign_folds(table(spark, data, "customer"), ["c_mktsegment", "c_name"], 5)
+    return folds.select("c_custkey", "fold")
+
+
 def train_report(spark: SparkSession, data: str) -> DataFrame:
     keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     report = train(charges(spark, data), FEATURES, LABEL, keys, LINE_KEY, "charge")
@@ -755,6 +773,8 @@ QUERIES: dict[str, Query] = {
     "coefficient_sign": coefficient_sign,
     "coefficient_impact": coefficient_impact,
     "cross_validate": cross_validate,
+    "folds_by_date": folds_by_date,
+    "folds_by_text": folds_by_text,
     "train_report": train_report,
     "train_explained": train_explained,
     "correlation_wide": correlation_wide,
