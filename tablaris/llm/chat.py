@@ -88,22 +88,23 @@ def format_chats(df: DataFrame, loss_role: str = "assistant") -> ChatForest:
     placed = stage(placed.select("*", F.element_at("path", -1).alias("p"), F.size("path").alias("depth")).drop("part", "base"), "chat-placed")
     roots = placed.where("depth = 1").select("tree", F.col("at").alias("root"))
     placed = placed.join(roots, "tree").withColumn("offset", F.col("at") - F.col("root")).drop("at", "root")
-    # Every ancestor of every node, by the hash of the path to it.
-    spans = placed.select("tree", "p", "offset", "length")
-    above = placed.where("depth > 1").select("tree", F.col("p").alias("of"), F.explode(F.slice("path", 1, F.col("depth") - 1)).alias("p"))
-    above = above.join(spans, ["tree", "p"]).groupBy("tree", "of").agg(
-        F.sum("length").alias("position"),
-        F.sort_array(F.collect_list(F.struct(F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("end")))).alias("ancestors"),
-    )
-    name = F.concat(F.hex("tree.p1"), F.hex("tree.p2")).alias("tree_id")
-    nodes = placed.join(above.withColumnRenamed("of", "p"), ["tree", "p"], "left").select(
-        name, "offset", "depth", "segment", F.coalesce("position", F.lit(0)).alias("position"),
-        F.coalesce("ancestors", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("ancestors"), "loss_start", "loss_end", "p",
+    # A turn's ancestors are the turns before it in any conversation that has it.
+    turns = rows.select("conv_id", "depth", "tree", "last", F.element_at("path", -1).alias("p"))
+    turns = turns.join(placed.select("tree", "p", "offset", "length"), ["tree", "p"])
+    prior = Window.partitionBy("conv_id").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
+    span = F.struct(F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("end"))
+    turns = turns.select(
+        "conv_id", "tree", "p", "last", "offset", F.coalesce(F.sum("length").over(prior), F.lit(0)).alias("position"),
+        F.collect_list(span).over(prior).alias("ancestors"),
     )
-    nodes = stage(nodes, "chat-forest")
-    ends = rows.where("last").select("conv_id", F.concat(F.hex("tree.p1"), F.hex("tree.p2")).alias("tree_id"), F.element_at("path", -1).alias("p"))
-    conversations = ends.join(nodes.select("tree_id", "p", "offset"), ["tree_id", "p"]).select("conv_id", "tree_id", "offset")
-    return ChatForest(nodes.drop("p"), conversations)
+    turns = stage(turns, "chat-places")
+    above = turns.groupBy("tree", "p").agg(F.min("position").alias("position"), F.min("ancestors").alias("ancestors"))
+    name = F.concat(F.hex("tree.p1"), F.hex("tree.p2")).alias("tree_id")
+    nodes = placed.join(above, ["tree", "p"]).select(
+        name, "offset", "depth", "segment", "position", "ancestors", "loss_start", "loss_end"
+    )
+    conversations = turns.where("last").select("conv_id", name, "offset")
+    return ChatForest(stage(nodes, "chat-forest"), conversations)
 
 
 def read_back(forest: ChatForest) -> DataFrame:
