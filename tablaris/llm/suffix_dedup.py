@@ -17,7 +17,6 @@ strings at once which of them started earlier.
 
 from __future__ import annotations
 
-import hashlib
 import pickle
 from collections.abc import Iterator
 
@@ -203,6 +202,43 @@ def spans_of(repeated: np.ndarray, place: np.ndarray, length: int) -> tuple[np.n
     return row, place[row] - last, place[row] - first + length
 
 
+def window_hashes(rows: np.ndarray, length: int, base: int) -> np.ndarray:
+    """Hash of each run of ``length`` bytes in each row."""
+    sums = np.zeros((rows.shape[1] + 1, len(rows)), np.uint64)
+    for k in range(rows.shape[1]):
+        sums[k + 1] = sums[k] * np.uint64(base) + rows[:, k] + np.uint64(1)
+    return mixed(sums[length:] - sums[:-length] * np.uint64(pow(base, length, 1 << 64))).T
+
+
+def common_strings(context: np.ndarray, spare: np.ndarray, owner: np.ndarray, length: int) -> tuple[tuple, tuple]:
+    """For anchors of common blocks, strings by 128-bit digest, combined here first.
+
+    Returns (id, hash, start, end) of the bytes under strings that start earlier
+    among these, and (id, hash, start, end, d1, d2) of each digest's first string.
+    """
+    reach = context.shape[1] - length
+    found = []
+    for a in range(0, len(context), 4096):
+        own = slice(a, a + 4096)
+        back = reach - np.arange(reach + 1)
+        row, column = np.nonzero((spare[own, :1] >= back) & (spare[own, 1:] >= length - back))
+        digests = [window_hashes(context[own], length, base)[row, column].astype(np.int64) for base in (MULTIPLIER, 0xD6E8FEB86659FD93)]
+        found.append(np.stack([owner[own][row, 0], owner[own][row, 1], owner[own][row, 2] - back[column], *digests], axis=1))
+    strings = np.concatenate(found)
+    strings = strings[np.lexsort(strings.T[2::-1])]
+    strings = strings[np.concatenate([[True], (strings[1:, :3] != strings[:-1, :3]).any(axis=1)])]  # one for each place
+    by_digest = np.lexsort([strings[:, k] for k in (2, 1, 0, 4, 3)])
+    sorted_digests = strings[by_digest, 3:]
+    first = np.zeros(len(strings), dtype=bool)
+    first[by_digest] = np.concatenate([[True], (sorted_digests[1:] != sorted_digests[:-1]).any(axis=1)])
+    later, opened = strings[~first], strings[first]
+    cut = np.concatenate([[True], (later[1:, :2] != later[:-1, :2]).any(axis=1) | (later[1:, 2] - later[:-1, 2] > length)]) if len(later) else np.zeros(0, bool)
+    begin = np.flatnonzero(cut)
+    last = np.append(begin[1:], len(later))[: len(begin)] - 1
+    removed = (later[begin, 0], later[begin, 1], later[begin, 2], later[last, 2] + length)
+    return removed, (opened[:, 0], opened[:, 1], opened[:, 2], opened[:, 2] + length, opened[:, 3], opened[:, 4])
+
+
 SPAN = "id long, hash long, start long, end long, d1 long, d2 long"
 SPANS = [c.split(" ")[0] for c in SPAN.split(", ")]
 LAST = (1 << 63) - 1
@@ -269,18 +305,11 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             cuts = np.flatnonzero(np.diff(part[common])) + 1
             rows = [(int(part[own[0]]), encode_run(right[own], left[own], spare[own], owner[own])) for own in np.split(common, cuts) if len(own)]
             if is_hot.any():
-                rows.append((int(part[is_hot][0]) - parts, digests(right[is_hot], left[is_hot], spare[is_hot], owner[is_hot])))
+                # Each run is complete in itself, so these go to parts by chance.
+                packed = pickle.dumps(common_strings(np.concatenate([left[is_hot, ::-1], right[is_hot]], axis=1), spare[is_hot], owner[is_hot], length))
+                rows.append((-1 - int(owner[is_hot][0, 1]) % parts, zstandard.ZstdCompressor(level=1).compress(packed)))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["part", "run"])
 
-        def digests(right: np.ndarray, left: np.ndarray, spare: np.ndarray, owner: np.ndarray) -> bytes:
-            whole = np.concatenate([left[:, ::-1], right], axis=1)
-            rows = []
-            for context, (before, after), (i, h, place) in zip(whole, spare.tolist(), owner.tolist()):
-                context = context.tobytes()
-                for o in range(max(0, length - after), min(reach, before) + 1):
-                    rows.append((hashlib.blake2b(context[reach - o : reach - o + length], digest_size=16).digest(), i, h, place - o))
-            return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(rows))
-
         for batch in batches:
             for row in batch.to_pylist():
                 data = np.frombuffer(unpack.decompress(row["packed"]), np.uint8)
@@ -305,23 +334,25 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         held, waiting = None, []
 
         def settle() -> Iterator[pa.RecordBatch]:
-            if held < 0:
-                rows = [x for run in waiting for x in pickle.loads(zstandard.ZstdDecompressor().decompress(run))]
-                d = np.frombuffer(b"".join(r[0] for r in rows), np.int64).reshape(-1, 2)
-                i, h, p = np.array([r[1:] for r in rows]).T
-                columns = [i, h, p, p + length, d[:, 0], d[:, 1]]
-            else:
-                runs = [decode_run(run, length) for run in waiting]
-                order, lcps = merge_runs([r[:2] for r in runs])
-                left, spare, owner = (np.concatenate([r[k] for r in runs]) for k in (2, 3, 4))
-                # Rows equal in id and text come as one.
-                row, start, end = spans_of(repeats(np.array(order), np.array(lcps), left, spare, owner, length), owner[:, 2], length)
-                columns = [owner[row, 0], owner[row, 1], start, end, None, None]
+            runs = [decode_run(run, length) for run in waiting]
+            order, lcps = merge_runs([r[:2] for r in runs])
+            left, spare, owner = (np.concatenate([r[k] for r in runs]) for k in (2, 3, 4))
+            # Rows equal in id and text come as one.
+            row, start, end = spans_of(repeats(np.array(order), np.array(lcps), left, spare, owner, length), owner[:, 2], length)
+            columns = [owner[row, 0], owner[row, 1], start, end, None, None]
+            yield rows_of(*columns)
+
+        def rows_of(*columns: np.ndarray | None) -> pa.RecordBatch:
             empty = pa.nulls(len(columns[0]), pa.int64())
-            yield pa.RecordBatch.from_arrays([empty if c is None else pa.array(np.ascontiguousarray(c)) for c in columns], SPANS)
+            return pa.RecordBatch.from_arrays([empty if c is None else pa.array(np.ascontiguousarray(c)) for c in columns], SPANS)
 
         for batch in batches:
             for part, run in zip(batch.column("part").to_pylist(), batch.column("run").to_pylist()):
+                if part < 0:  # strings of common blocks, matched by digest further on
+                    removed, open_strings = pickle.loads(zstandard.ZstdDecompressor().decompress(run))
+                    yield rows_of(*removed, None, None)
+                    yield rows_of(*open_strings)
+                    continue
                 if part != held and waiting:
                     yield from settle()
                     waiting = []
