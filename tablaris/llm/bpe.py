@@ -29,7 +29,8 @@ from tablaris.llm.lookup import HashIndex
 NONE = np.iinfo(np.int32).max
 WIDEST = 256  # bytes; longer pre-tokens are merged as single rows, all equal pairs at once
 CELLS = 1 << 21  # of a matrix
-KNOWN = 150_000  # pieces of text, and pre-tokens, whose ids a worker remembers
+KNOWN = 60_000  # pieces of text, and pre-tokens, whose ids a worker remembers
+ROWS = 500  # decoded at a time
 BLOCK = 1 << 20  # characters of text in work at a time
 
 
@@ -271,8 +272,10 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out: st
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = once(shared, lambda v: {rank: token for token, rank in v.items()})
         for batch in batches:
-            columns = [batch.column(f.name) for f in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts(batch.column(ids_col), tokens), pa.binary())], [f.name for f in schema])
+            for at in range(0, len(batch), ROWS):
+                rows = batch.slice(at, ROWS)
+                decoded = pa.array(texts(rows.column(ids_col), tokens), pa.binary())
+                yield pa.RecordBatch.from_arrays([*[rows.column(f.name) for f in kept], decoded], [f.name for f in schema])
 
     def texts(lists: pa.ListArray, tokens: dict[int, bytes]) -> Iterator[bytes | None]:
         for row in lists:
