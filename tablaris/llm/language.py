@@ -104,19 +104,18 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", order: Co
     """Context trees of every language in ``lang_col``.
 
     Learns from at most ``docs`` rows a language, the first in ``order`` (a hash of
-    the text by default), whole texts, and keeps the ``contexts`` most frequent
+    the text by default; of rows at one place the least text), whole texts, and keeps the ``contexts`` most frequent
     grams of each length and language; these two parameters bound the model. Rows
     with a null text or language are not used; without any other row no language
     is learned.
     """
-    place = Window.partitionBy("lang").orderBy("place", "text")
-    sample = (
-        df.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), (F.xxhash64(text_col) if order is None else order).alias("place"))
-        .where("text IS NOT NULL AND lang IS NOT NULL")
-        .withColumn("n", F.row_number().over(place))
-        .where(F.col("n") <= docs)
-        .select("lang", "text")
-    )
+    rows = df.select(
+        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), (F.xxhash64(text_col) if order is None else order).alias("place")
+    ).where("text IS NOT NULL AND lang IS NOT NULL")
+    # Places are ranked without the texts, and at most ``docs`` of them a language are broadcast.
+    ranked = rows.select("lang", "place").distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place")))
+    first = F.broadcast(ranked.where(F.col("n") <= docs).drop("n"))
+    sample = rows.join(first, ["lang", "place"]).groupBy("lang", "place").agg(F.min("text").alias("text")).select("lang", "text")
     names = [f.split(" ")[0] for f in COUNT.split(", ")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
