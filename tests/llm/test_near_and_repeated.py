@@ -220,3 +220,15 @@ def test_components(spark):
     want = components(nodes, edges)
     assert {r.node: r.root for r in got} == {n: want[n] for n in nodes}
     assert spark_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rare_pairs_are_audited(spark):
+    pick = np.random.default_rng(11)
+    rows = pick.normal(size=(6000, 24))
+    rows[3000:4500] = rows[:1500] + pick.normal(size=(1500, 24)) * 0.05
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    unit = embedding_dedup.unit_vectors(rows)
+    true = (unit @ unit.T >= 0.95).sum() - len(rows)
+    out = embedding_dedup.near_embeddings(df, shard_size=6000, least_shards=1, beam=4)
+    found = out.selectExpr("sum(n_links)").first()[0]
+    assert true >= 3000 and 0.98 * true <= found <= true
