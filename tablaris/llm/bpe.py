@@ -114,6 +114,7 @@ class Bpe(TextIds):
         self.rank = np.append(np.fromiter(pairs.values(), np.int64, len(pairs)), NONE)
         self.id_of_rank = id_of_rank  # None: a rank is an id
         self.ranks = whole  # pre-tokens that are tokens, without merging
+        self.added: dict[str, bytes] = {}  # strings that are cut out of a text first, and their ids
 
     @classmethod
     def of_ranks(cls, ranks: dict[bytes, int], pattern: str) -> Bpe:
@@ -127,8 +128,12 @@ class Bpe(TextIds):
         return cls(pattern, [ranks[bytes([b])] for b in range(256)], pairs, None, ranks)
 
     @classmethod
-    def of_tokenizer(cls, text: str, pattern: str) -> Bpe:
-        """From a tokenizer's JSON: byte-level BPE, merges in their listed order."""
+    def of_tokenizer(cls, text: str, pattern: str, encode_special_tokens: bool = True) -> Bpe:
+        """From a tokenizer's JSON: byte-level BPE, merges in their listed order.
+
+        Added tokens in a text get their listed id; with ``encode_special_tokens``,
+        as in the library (where it is off by default), special ones are text.
+        """
         spec = json.loads(text)
         model, before = spec["model"], spec["pre_tokenizer"]
         if model["type"] != "BPE" or before["type"] != "ByteLevel" or before["add_prefix_space"] or spec["normalizer"]:
@@ -138,7 +143,23 @@ class Bpe(TextIds):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             pairs.setdefault(vocab[left] << 32 | vocab[right], rank)
             ids.append(vocab[left + right])
-        return cls(pattern, [vocab[c] for c in byte_letters()], pairs, np.array(ids), {})
+        own = cls(pattern, [vocab[c] for c in byte_letters()], pairs, np.array(ids), {})
+        for token in spec["added_tokens"]:
+            if token["special"] and encode_special_tokens:
+                continue
+            if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
+                raise ValueError(f"not a plain added token: {token['content']}")
+            own.added[token["content"]] = np.uint32(token["id"]).tobytes()
+        longest = sorted(own.added, key=len, reverse=True)
+        own.splitter = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")")
+        return own
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not any(token in text for token in self.added for text in texts):
+            return super().encode(texts)
+        parts = [self.splitter.split(text) for text in texts]  # every other part is an added token
+        between = iter(super().encode([p for own in parts for p in own[::2]]))
+        return [b"".join(self.added[p] if i % 2 else next(between) for i, p in enumerate(own)) for own in parts]
 
     def word_ids(self, words: list[str]) -> list[bytes]:
         as_bytes = [w.encode() for w in words]

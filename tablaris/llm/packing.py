@@ -35,9 +35,10 @@ def pieces(
     """Pieces of each text: id, start, length, tokens (of the text), ids, place.
 
     ``ids`` are little-endian 32-bit numbers; the text's last one is ``end_id``,
-    the others are what the tokenizers library gives without special tokens (a
-    vocabulary's special strings in a text are text); so a null or empty text is one piece of one id. ``place`` tells rows apart
-    that are the same in all else. Rows may repeat; an empty table gives none.
+    the others are what the tokenizers library gives at its default settings
+    without adding special tokens (an added token in a text has its listed id); so a
+    null or empty text is one piece of one id. ``place`` tells rows apart that are
+    the same in all else. Rows may repeat; an empty table gives none.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         shared = df.sparkSession.sparkContext.broadcast(file.read())
@@ -46,7 +47,7 @@ def pieces(
     schema = T.StructType([source.schema["id"], *T.StructType.fromDDL(PIECE)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, place = once(shared, lambda text: Bpe.of_tokenizer(text, public_tokenizers.PATTERN)), TaskContext.get().partitionId() << 40
+        encoder, place = once(shared, lambda text: Bpe.of_tokenizer(text, public_tokenizers.PATTERN, encode_special_tokens=False)), TaskContext.get().partitionId() << 40
         for batch in batches:
             for at, texts in blocks(batch.column("text")):
                 row, start, length, tokens, ids = [], [], [], [], []

@@ -128,3 +128,24 @@ def test_little_padding(spark):
     total, used = packed.selectExpr("sum(length)", "count(DISTINCT sequence_id)").first()
     assert total / (1024 * used) > 0.97
     assert packed.selectExpr("min(sequence_id) >= 0").first()[0]
+
+
+def test_added_tokens_as_the_library_does_by_default(spark):
+    library = Tokenizer.from_file(JSON)
+    own = bpe.Bpe.of_tokenizer(open(JSON).read(), public_tokenizers.PATTERN, encode_special_tokens=False)
+    end = "<|endoftext|>"
+    texts = ["", "plain", end, f"a {end} b", f"{end}{end}x{end}", f"a{end}\n\n b  {end}  c", f"<|endoftext {end[:-1]} <{end}>", f" {end} \n"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids(x) for x in own.encode(texts)] == want
+    rows = packing.pieces(documents(spark, list(enumerate(texts))), JSON).collect()
+    assert {r.id: ids(bytes(r.ids)) for r in rows} == {i: x + [0] for i, x in enumerate(want)}
+
+
+@settings(max_examples=100, deadline=None)
+@given(parts=st.lists(st.one_of(st.just("<|endoftext|>"), st.text(alphabet=st.sampled_from("ab <|>endoftext\n'é"), max_size=12)), max_size=8))
+def test_any_text_with_added_tokens(parts):
+    text = "".join(parts)
+    assert [ids(x) for x in BY_DEFAULT[1].encode([text])] == [BY_DEFAULT[0].encode(text, add_special_tokens=False).ids]
+
+
+BY_DEFAULT = Tokenizer.from_file(JSON), bpe.Bpe.of_tokenizer(open(JSON).read(), public_tokenizers.PATTERN, encode_special_tokens=False)
