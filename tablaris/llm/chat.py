@@ -6,9 +6,14 @@ nodes of a tree are laid out depth-first; each carries the position id of its
 first token, which its own path alone decides, and the intervals of the sequence
 that it may attend to, its ancestors'. A token is one code point.
 
-The order is Spark's own: nodes are range-partitioned by their path and sorted,
-a running sum gives places within a partition, and one total for each partition
-moves them on. No tree, however large, is in one task.
+A tree is cut into chains: each conversation goes on alone from some turn, and of
+those that share a node the one with the least hash of its end owns it, so what a
+conversation owns is the end of its path. A chain is laid out in one piece, then
+what branches off it, the deepest first. So only chains are ordered, each by the
+chains it comes through, and what a node attends to is one interval for each of
+them: all of it together is no longer than the turns. The order is Spark's own:
+chains are range-partitioned and sorted, a running sum gives places within a
+partition, and one total for each partition moves them on.
 """
 
 from __future__ import annotations
@@ -37,15 +42,55 @@ def unescaped(text: Column) -> Column:
 
 @dataclass
 class ChatForest:
-    """``nodes``: tree_id, offset (in the tree's sequence), depth, segment,
-    position (of its first token), ancestors (array of (start, end) in the
-    sequence, from the root on), loss_start and loss_end (in the segment; null
-    without loss). ``conversations``: conv_id and the tree_id, offset of its last turn.
+    """``turns``: tree_id, chain, offset (in the tree's sequence), place (number in
+    the sequence), depth, segment, position (of its first token), loss_start and
+    loss_end (in the segment; null without loss). ``chains``: chain, start and first
+    (offset and place of its first node), spans (array of (start, end, first, stop):
+    the offsets and places that all its nodes attend to besides those before them in
+    the chain; touching ones are one). ``conversations``: conv_id and the tree_id,
+    offset of its last turn.
     """
 
-    nodes: DataFrame
+    turns: DataFrame
+    chains: DataFrame
     conversations: DataFrame
 
+    @property
+    def nodes(self) -> DataFrame:
+        """``turns`` with ancestors (array of (start, end), one for each, from the root on) for chain.
+
+        That is as long as the square of a conversation's turns; nothing else here reads it.
+        """
+        length = F.char_length("segment").cast("long")
+        above = attended(self.turns, self.chains).select("tree_id", F.col("offset").alias("of"), "place")
+        spans = above.join(self.turns.select("tree_id", "place", F.struct(F.col("offset").alias("start"), (F.col("offset") + length).alias("end")).alias("span")), ["tree_id", "place"])
+        spans = spans.groupBy("tree_id", F.col("of").alias("offset")).agg(F.sort_array(F.collect_list("span")).alias("ancestors"))
+        none = F.array().cast(spans.schema["ancestors"].dataType)
+        return self.turns.join(spans, ["tree_id", "offset"], "left").select(
+            "tree_id", "offset", "depth", "segment", "position", F.coalesce("ancestors", none).alias("ancestors"), "loss_start", "loss_end"
+        )
+
+
+def attended(turns: DataFrame, chains: DataFrame) -> DataFrame:
+    """A row for each place that each of ``turns`` attends to: tree_id, offset, place."""
+    own = F.struct(F.col("first").alias("first"), F.col("place").alias("stop"))
+    spans = F.concat(F.transform("spans", lambda x: F.struct(x["first"].alias("first"), x["stop"].alias("stop"))), F.array(own))
+    each = turns.select("tree_id", "chain", "offset", "place").join(chains, "chain").select("tree_id", "offset", F.explode(spans).alias("x"))
+    each = each.where("x.first < x.stop")
+    return each.select("tree_id", "offset", F.explode(F.sequence("x.first", F.col("x.stop") - 1)).alias("place"))
+
+
+def merged(spans: Column) -> Column:
+    """Sorted spans, those that touch as one."""
+
+    def add(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        joined = F.struct(last["start"].alias("start"), x["end"].alias("end"), last["first"].alias("first"), x["stop"].alias("stop"))
+        n = F.size(done)
+        return F.when((n > 0) & (F.get(done, n - 1)["end"] == x["start"]), F.concat(F.slice(done, 1, F.greatest(n - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(spans, F.slice(spans, 1, 0), add)
+
 
 def format_chats(df: DataFrame, loss_role: str = "assistant") -> ChatForest:
     """Prefix trees of the conversations in ``df`` (conv_id, turn, role, text).
@@ -64,47 +109,67 @@ def format_chats(df: DataFrame, loss_role: str = "assistant") -> ChatForest:
     in_conv = Window.partitionBy("conv_id").orderBy("depth")
     keys = [F.bit_xor(F.xxhash64(F.lit(seed), "depth", "role", "text")).over(so_far).alias(f"p{seed}") for seed in (1, 2)]
     rows = rows.select("*", *keys).withColumn("p", F.struct("p1", "p2"))
+    whole = Window.partitionBy("conv_id").orderBy("depth").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.select(
-        "conv_id", "depth", "role", "text", F.collect_list("p").over(so_far).alias("path"),
+        "conv_id", "depth", "role", "text", "p", F.first("p").over(so_far).alias("tree"), F.last("p").over(whole).alias("finish"),
         F.lead("depth").over(in_conv).isNull().alias("last"),
     )
-    rows = stage(rows.select("*", F.get("path", F.lit(0)).alias("tree")), "chat-turns")
+    rows = stage(rows, "chat-turns")
     body = F.concat(F.lit(TURN), escaped(F.min("role")), F.lit(BODY))
     text = escaped(F.min("text"))
-    nodes = rows.groupBy("tree", "path").agg(
+    nodes = rows.groupBy("tree", "p").agg(
+        F.min("depth").alias("depth"),
+        F.min("finish").alias("chain"),
         F.concat(body, text, F.lit(END)).alias("segment"),
         F.when(F.min("role") == loss_role, F.char_length(body)).alias("loss_start"),
         F.when(F.min("role") == loss_role, F.char_length(body) + F.char_length(text)).alias("loss_end"),
     )
-    nodes = nodes.repartitionByRange(shuffle_partitions(df.sparkSession), "tree", "path").sortWithinPartitions("tree", "path")
-    nodes = stage(nodes.select("*", F.spark_partition_id().alias("part")), "chat-nodes")
-    length = F.char_length("segment").cast("long")
-    before = Window.partitionBy("part").orderBy("tree", "path").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each partition: small however many nodes there are.
-    totals = nodes.groupBy("part").agg(F.sum(length).alias("total"))
-    totals = totals.select("part", F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    placed = nodes.select("*", length.alias("length"), F.coalesce(F.sum(length).over(before), F.lit(0)).alias("at"))
-    placed = placed.join(F.broadcast(totals), "part").withColumn("at", F.col("at") + F.col("base"))
-    placed = stage(placed.select("*", F.element_at("path", -1).alias("p"), F.size("path").alias("depth")).drop("part", "base"), "chat-placed")
-    roots = placed.where("depth = 1").select("tree", F.col("at").alias("root"))
-    placed = placed.join(roots, "tree").withColumn("offset", F.col("at") - F.col("root")).drop("at", "root")
-    # A turn's ancestors are the turns before it in any conversation that has it.
-    turns = rows.select("conv_id", "depth", "tree", "last", F.element_at("path", -1).alias("p"))
-    turns = turns.join(placed.select("tree", "p", "offset", "length"), ["tree", "p"])
-    prior = Window.partitionBy("conv_id").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
-    span = F.struct(F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("end"))
-    turns = turns.select(
-        "conv_id", "tree", "p", "last", "offset", F.coalesce(F.sum("length").over(prior), F.lit(0)).alias("position"),
-        F.collect_list(span).over(prior).alias("ancestors"),
+    nodes = nodes.withColumn("length", F.char_length("segment").cast("long"))
+    in_chain = Window.partitionBy("chain").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
+    nodes = nodes.select("*", F.sum("length").over(in_chain).alias("upto"), F.count("*").over(in_chain).alias("number"))
+    nodes = stage(nodes, "chat-nodes")
+    # The chains that each conversation comes through: where it enters, how far it goes.
+    hops = rows.select("tree", "p", "finish").join(nodes.select("tree", "p", "chain", "depth", "upto", "number"), ["tree", "p"])
+    hops = hops.groupBy("tree", "finish", "chain").agg(F.min("depth").alias("at"), F.max("upto").alias("length"), F.max("number").alias("n"))
+    hops = hops.groupBy("tree", "finish").agg(F.sort_array(F.collect_list(F.struct("at", "chain", "length", "n"))).alias("hops"))
+    own = F.element_at("hops", -1)
+    chains = hops.where(own["chain"] == F.col("finish")).select(
+        "tree", F.col("finish").alias("chain"), "hops", F.transform("hops", lambda x: F.struct((-x["at"]).alias("at"), x["chain"].alias("chain"))).alias("key"),
+        own["length"].alias("length"), own["n"].alias("n"),
     )
-    turns = stage(turns, "chat-places")
-    above = turns.groupBy("tree", "p").agg(F.min("position").alias("position"), F.min("ancestors").alias("ancestors"))
-    name = F.concat(F.hex("tree.p1"), F.hex("tree.p2")).alias("tree_id")
-    nodes = placed.join(above, ["tree", "p"]).select(
-        name, "offset", "depth", "segment", "position", "ancestors", "loss_start", "loss_end"
+    chains = chains.repartitionByRange(shuffle_partitions(df.sparkSession), "tree", "key").sortWithinPartitions("tree", "key")
+    chains = stage(chains.select("*", F.spark_partition_id().alias("part")), "chat-chains")
+    before = Window.partitionBy("part").orderBy("tree", "key").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each partition: small however many chains there are.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = chains.groupBy("part").agg(F.sum("length").alias("length"), F.sum("n").alias("n"))
+    totals = totals.select("part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"base_{c}") for c in ("length", "n")])
+    placed = chains.select("*", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"at_{c}") for c in ("length", "n")])
+    placed = placed.join(F.broadcast(totals), "part").withColumns({f"at_{c}": F.col(f"at_{c}") + F.col(f"base_{c}") for c in ("length", "n")})
+    placed = stage(placed.select("tree", "chain", "hops", "at_length", "at_n"), "chat-placed")
+    roots = placed.where(F.size("hops") == 1).select("tree", F.col("at_length").alias("root_length"), F.col("at_n").alias("root_n"))
+    placed = placed.join(roots, "tree").select(
+        "tree", "chain", "hops", (F.col("at_length") - F.col("root_length")).alias("start"), (F.col("at_n") - F.col("root_n")).alias("first")
     )
-    conversations = turns.where("last").select("conv_id", name, "offset")
-    return ChatForest(stage(nodes, "chat-forest"), conversations)
+    placed = stage(placed, "chat-starts")
+    # What a chain's nodes attend to outside it.
+    above = placed.select("chain", F.explode(F.slice("hops", F.lit(1), F.size("hops") - 1)).alias("x")).select("chain", F.col("x.chain").alias("over"), "x.length", "x.n")
+    above = above.join(placed.select(F.col("chain").alias("over"), "start", "first"), "over")
+    span = F.struct("start", (F.col("start") + F.col("length")).alias("end"), "first", (F.col("first") + F.col("n")).alias("stop"))
+    above = above.groupBy("chain").agg(F.sort_array(F.collect_list(span)).alias("spans"), F.sum("length").alias("base"))
+    above = above.select("chain", merged(F.col("spans")).alias("spans"), "base")
+    none = F.array().cast(above.schema["spans"].dataType)
+    placed = placed.join(above, "chain", "left").select("chain", "start", "first", F.coalesce("spans", none).alias("spans"), F.coalesce("base", F.lit(0)).alias("base"))
+    placed = stage(placed, "chat-spans")
+    name = F.concat(F.hex("tree.p1"), F.hex("tree.p2")).alias("tree_id")
+    inside = F.col("upto") - F.col("length")
+    turns = nodes.join(placed.drop("spans"), "chain").select(
+        name, "tree", "p", "chain", (F.col("start") + inside).alias("offset"), (F.col("first") + F.col("number") - 1).alias("place"), "depth", "segment",
+        (F.col("base") + inside).alias("position"), "loss_start", "loss_end",
+    )
+    turns = stage(turns, "chat-forest")
+    conversations = rows.where("last").select("conv_id", "tree", "p").join(turns.select("tree", "p", "tree_id", "offset"), ["tree", "p"]).select("conv_id", "tree_id", "offset")
+    return ChatForest(turns.drop("tree", "p"), placed.drop("base"), conversations)
 
 
 def read_back(forest: ChatForest) -> DataFrame:
@@ -112,12 +177,10 @@ def read_back(forest: ChatForest) -> DataFrame:
 
     Each last turn gathers what it attends to, then itself, in sequence order.
     """
-    nodes = forest.nodes
-    ends = forest.conversations.select("tree_id", "offset").distinct()
-    seen = F.concat("ancestors", F.array(F.struct(F.col("offset").alias("start"), F.lit(0).cast("long").alias("end"))))
-    wanted = ends.join(nodes.select("tree_id", "offset", "ancestors"), ["tree_id", "offset"]).select("tree_id", F.col("offset").alias("leaf"), F.explode(seen).alias("x"))
-    wanted = wanted.select("tree_id", "leaf", F.col("x.start").alias("offset"))
-    parts = wanted.join(nodes, ["tree_id", "offset"]).groupBy("tree_id", "leaf").agg(
+    turns = forest.turns
+    ends = stage(turns.join(forest.conversations.select("tree_id", "offset").distinct(), ["tree_id", "offset"]).select("tree_id", "chain", "offset", "place"), "chat-ends")
+    wanted = attended(ends, forest.chains).union(ends.select("tree_id", "offset", "place")).withColumnRenamed("offset", "leaf")
+    parts = wanted.join(turns, ["tree_id", "place"]).groupBy("tree_id", "leaf").agg(
         F.sort_array(F.collect_list(F.struct("offset", "segment", "loss_start", "loss_end"))).alias("parts")
     )
     lost = F.filter("parts", lambda x: x["loss_start"].isNotNull())

@@ -159,6 +159,19 @@ def test_escapes_hide_control_strings(spark):
         assert not any(c in r.e for c in ("<|", "</s>", "<s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]"))
 
 
+def test_spans_grow_with_turns_not_their_square(spark):
+    long = [(1, i, "user", f"t{i}") for i in range(3000)]
+    other = [(2, i, "user", f"t{i}" if i < 2000 else f"u{i}") for i in range(2500)]
+    more = [(3, i, "user", f"t{i}" if i < 1000 else f"v{i}") for i in range(1200)] + [(None, i, "user", f"t{i}") for i in range(10)]
+    given = long + other + more
+    forest = chat.format_chats(conversations(spark, given))
+    assert forest.turns.count() == 3700
+    assert forest.chains.selectExpr("sum(size(spans))").first()[0] <= 3
+    back = {r.conv_id: r.formatted for r in chat.read_back(forest).collect()}
+    for c in (1, 2, 3, None):
+        assert back[c] == "".join(f"{chat.TURN}{r}{chat.BODY}{x}{chat.END}" for i, _, r, x in given if i == c)
+
+
 def test_no_conversations(spark):
     none = chat.format_chats(conversations(spark, SHARED).limit(0))
     assert none.nodes.collect() == [] and chat.read_back(none).collect() == []
