@@ -25,6 +25,19 @@ def stage(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: DuckDB: table ``crc`` (one row: t, the 256 steps of CRC-32) and the checksum of a text expression beside it.
+CRC_TABLE = """crc AS (SELECT list(v ORDER BY b) AS t FROM (
+  SELECT b, list_reduce(list_prepend(b, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) bytes(b)))"""
+
+
+def crc_sql(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes, where ``crc`` is joined."""
+    byte = f"('0x' || hex(encode({text}))[2 * i + 1 : 2 * i + 2])::BIGINT"
+    steps = f"list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode({text}))), lambda i: {byte}))"
+    return f"xor(4294967295, list_reduce({steps}, lambda c, x: xor(c >> 8, crc.t[xor(c & 255, x) + 1])))"
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
