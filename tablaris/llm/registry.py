@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablaris.llm import bpe, chat, embedding_dedup, exact_dedup, language, line_dedup, ngram_join, packing, periodic_runs, secrets, spelling, suffix_dedup
+from tablaris.llm import bpe, chat, embedding_dedup, exact_dedup, language, line_dedup, ngram_join, packing, periodic_runs, quality, secrets, spelling, suffix_dedup
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_embedding_near_dup": embedding_dedup.op9_embedding_near_dup,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op11_quality_classifier": quality.op11_quality_classifier,
     "op12_spelling_variants": spelling.op12_spelling_variants,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }

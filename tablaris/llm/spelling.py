@@ -169,9 +169,9 @@ def near_words(words: DataFrame, part: int = PART, stretch: int = STRETCH) -> Da
     """Pairs (word, n, near, near_n), both ways round, of ``words`` (word, n), which are distinct."""
     length = F.char_length("word")
     # A word meets those of its length, those one shorter, and, in their rows, those one longer.
-    rows = words.select("word", "n", F.explode(F.array(length, length - 1)).alias("size")).where("size > 0")
+    rows = words.select("word", "n", F.explode(F.array(length, length - 1)).alias("size")).where("size >= 0")
     rows = halved(rows.withColumns({"low": F.lit(0), "high": F.col("size")}).where("size > 1")).unionByName(
-        rows.where("size = 1").withColumns({"low": F.lit(0), "high": F.lit(1)})
+        rows.where("size <= 1").withColumns({"low": F.lit(0), "high": F.col("size")})
     )
     ready = None
     while True:
