@@ -1,10 +1,13 @@
 """Cleaning: raw rows in, clean table and quality report out.
 
-Conform, type, validate, deduplicate, fill gaps, impute, cap. The
-deduplicated rows are staged once, and once more if values were imputed; every
-statistic after that reads single columns of a Parquet table. Validation
-leaves NULLs in optional columns only, so imputation concerns those and
-inserted keys, and is skipped where there are neither.
+Conform, type, validate, deduplicate, fill gaps, impute, cap. Raw rows are read
+and parsed once: what is staged are the deduplicated rows, each with the number
+of raw rows it stands for, and one row that stands for all invalid ones, so the
+report's counts are sums over the staged table, and right also where tasks ran
+more than once. It is staged once more if values were imputed; every statistic
+reads single columns of these tables. Validation leaves NULLs in optional columns
+only, so imputation concerns those and inserted keys, and is skipped where there
+are neither.
 """
 
 from __future__ import annotations
@@ -12,23 +15,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablaris.operators.conform import apply_types, conform, final_projection
-from tablaris.operators.dedup import drop_exact, ingest_order, keep_first
+from tablaris.operators.dedup import ingest_order
 from tablaris.operators.gapfill import fill_gaps
 from tablaris.operators.impute import Survey, impute
 from tablaris.operators.ordering import WINDOW_ROWS, GroupSizes
 from tablaris.operators.outliers import Fence, iqr_fences, winsorize
-from tablaris.operators.validate import blank_invalid, spec_validity, validity_counts
+from tablaris.operators.validate import blank_invalid, spec_validity
 from tablaris.sources.csv import scan_csv, write_csv
 from tablaris.sources.staging import stage
 from tablaris.sources.tables import read_parquet, write_parquet, write_report
 from tablaris.spec import CleanSpec, Labels
 
 _INGEST = "_ingest"
+_VALID, _ROWS = "_valid", "_rows"
 
 
 @dataclass(frozen=True)
@@ -37,21 +42,20 @@ class CleanResult:
 
     data: DataFrame
     spec: CleanSpec
-    typed: DataFrame
+    raw_rows: int
+    valid_rows: int
     base_rows: int
     key_range: tuple[int | None, int | None]
     inserted: int
     fences: dict[str, Fence | None]
 
     def report(self, written: DataFrame | None = None) -> DataFrame:
-        """One-row quality report; two aggregates.
+        """One-row quality report; one aggregate, which does not read the raw rows.
 
         ``written`` is the clean table read back from a sink, if there is one:
         its figures are then counted there instead of being computed again.
         """
-        counts = validity_counts(self.typed, spec_validity(self.spec)).first()
-        final = _final_counts(self.data if written is None else written, self.spec)
-        return _report_row(self, counts.asDict(), final)
+        return _report_row(self, _final_counts(self.data if written is None else written, self.spec))
 
 
 def with_ingest_order(df: DataFrame, spec: CleanSpec) -> tuple[DataFrame, CleanSpec]:
@@ -69,10 +73,24 @@ def typed_rows(raw: DataFrame, spec: CleanSpec, headers: Sequence[str] | None) -
     return blank_invalid(apply_types(conform(raw, spec, headers), spec), spec)
 
 
-def _deduplicated(valid: DataFrame, spec: CleanSpec) -> DataFrame:
+def combined(typed: DataFrame, spec: CleanSpec) -> DataFrame:
+    """One row for each key, or for each distinct row, with ``_rows``, the rows it stands for.
+
+    Of a key the first row in ``ingest_order`` is kept. Invalid rows are one row,
+    with NULLs and a false ``_valid``. Each task combines its rows before the shuffle.
+    """
+    valid = spec_validity(spec)
     if spec.key is None:
-        return drop_exact(valid.select(*spec.names))
-    return keep_first(valid, [spec.key], spec.ingest_order).select(*spec.names)
+        flagged = typed.select(valid.alias(_VALID), *[F.when(valid, F.col(c)).alias(c) for c in spec.names])
+        return flagged.groupBy(_VALID, *spec.names).agg(F.count(F.lit(1)).alias(_ROWS))
+    flagged = typed.select(
+        valid.alias(_VALID),
+        F.when(valid, F.col(spec.key)).alias("_key"),
+        F.when(valid, F.struct(*spec.names)).alias("_row"),
+        F.struct(*spec.ingest_order).alias("_place"),
+    )
+    first = flagged.groupBy(_VALID, "_key").agg(F.min_by("_row", "_place").alias("_row"), F.count(F.lit(1)).alias(_ROWS))
+    return first.select(_VALID, _ROWS, "_row.*")
 
 
 def clean(
@@ -92,15 +110,12 @@ def clean(
     headers = list(headers or raw.columns)
     raw, spec = with_ingest_order(raw, spec)
     typed = typed_rows(raw, spec, headers)
-    valid = typed.where(spec_validity(spec))
-    base = stage(_deduplicated(valid, spec), "deduplicated")
-
-    low = high = None
-    if spec.fill_gaps:
-        ends = base.agg(F.min(spec.key), F.max(spec.key), F.count(F.lit(1))).first()
-        low, high, rows = ends
-    else:
-        rows = base.count()
+    staged = stage(combined(typed, spec), "deduplicated")
+    base = staged.where(_VALID).select(*spec.names)
+    ends = [F.min(spec.key), F.max(spec.key)] if spec.fill_gaps else [F.lit(None), F.lit(None)]
+    low, high, rows, raw_rows, valid_rows = staged.agg(
+        *ends, F.count_if(_VALID), F.coalesce(F.sum(_ROWS), F.lit(0)), F.coalesce(F.sum(F.when(F.col(_VALID), F.col(_ROWS))), F.lit(0))
+    ).first()
     labels, inserted = spec.labels, 0
     if spec.fill_gaps and rows:
         inserted = high - low + 1 - rows
@@ -125,7 +140,7 @@ def clean(
     fences = iqr_fences(whole, spec.cap, quantile_mode, spec.fence)
     capped = winsorize(whole, fences, labels.outlier)
     data = in_order(final_projection(capped, spec, _flags(spec)), spec)
-    return CleanResult(data, spec, typed, rows, (low, high), inserted, fences)
+    return CleanResult(data, spec, raw_rows, valid_rows, rows, (low, high), inserted, fences)
 
 
 def in_order(data: DataFrame, spec: CleanSpec) -> DataFrame:
@@ -182,7 +197,7 @@ def report_schema(spec: CleanSpec) -> str:
     )
 
 
-def _report_row(result: CleanResult, counts: dict, final: dict) -> DataFrame:
+def _report_row(result: CleanResult, final: dict) -> DataFrame:
     spec = result.spec
     limits = {
         c: (final[f"out_{c}"], f.low if f else None, f.high if f else None)
@@ -190,10 +205,10 @@ def _report_row(result: CleanResult, counts: dict, final: dict) -> DataFrame:
     }
     gaps = [result.key_range, result.inserted] if spec.fill_gaps else []
     row = (
-        counts["typed_rows"],
-        counts["typed_rows"],
-        counts["invalid_rows"],
-        counts["valid_rows"] - result.base_rows,
+        result.raw_rows,
+        result.raw_rows,
+        result.raw_rows - result.valid_rows,
+        result.valid_rows - result.base_rows,
         *gaps,
         {c: final[f"imp_{c}"] for c in spec.impute},
         {c: final[f"null_{c}"] for c in spec.impute},
@@ -201,7 +216,7 @@ def _report_row(result: CleanResult, counts: dict, final: dict) -> DataFrame:
         limits,
         final["rows"],
     )
-    return result.typed.sparkSession.createDataFrame([row], report_schema(spec))
+    return result.data.sparkSession.createDataFrame([row], report_schema(spec))
 
 
 def clean_csv(
@@ -215,13 +230,21 @@ def clean_csv(
 ) -> CleanResult:
     """CSV in; ``parquet`` and ``csv`` folders and a JSON report out.
 
-    Returns the result with ``data`` read from the Parquet sink.
+    Both sinks are written from one sort, so the files of either, in the order of
+    their names, hold the rows in order. Returns the result with ``data`` read
+    from the Parquet sink.
     """
-    raw, header = scan_csv(spark, input_path)
-    result = clean(raw, spec, header, quantile_mode)
-    write_parquet(result.data, f"{output_dir}/parquet")
+    by_place = spec.key is not None and not spec.ingest_order
+    raw, header = scan_csv(spark, input_path, order=_INGEST if by_place else None)
+    result = clean(raw, replace(spec, ingest_order=(_INGEST,)) if by_place else spec, header, quantile_mode)
+    # Blocks on executors' disks: one that is lost is sorted again from the staged table.
+    ordered = result.data.persist(StorageLevel.DISK_ONLY)
+    try:
+        write_parquet(ordered, f"{output_dir}/parquet")
+        write_csv(ordered, f"{output_dir}/csv", single_csv)
+    finally:
+        ordered.unpersist()
     written = read_parquet(spark, f"{output_dir}/parquet")
-    write_csv(in_order(written, spec), f"{output_dir}/csv", single_csv)
     paths = [
         F.lit(value).alias(name)
         for name, value in (

@@ -236,6 +236,8 @@ QUANTILE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_suppkey"]
 
 ORACLES: dict[str, str] = {
     "scan_csv_roundtrip": "SELECT * FROM part",
+    "csv_headers_many": """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderpriority
+      FROM orders""",
     "sink_parquet_roundtrip": "SELECT * FROM part",
     "head_rows": """SELECT c_custkey, c_name, c_acctbal FROM customer
       ORDER BY c_acctbal DESC, c_custkey LIMIT 5""",

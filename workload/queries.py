@@ -81,6 +81,26 @@ def scan_csv_roundtrip(spark: SparkSession, data: str) -> DataFrame:
     return rows
 
 
+MANY_FILES = 2000
+
+
+def csv_headers_many(spark: SparkSession, data: str) -> DataFrame:
+    """Orders from 2,000 small CSV files of three layouts, one of them with the names of another sheet."""
+    orders = table(spark, data, "orders")
+    asked = orders.select("o_orderkey", "o_custkey", "o_orderstatus", cents("o_totalprice").alias("cents"), "o_orderpriority")
+    source = staging_path(spark, "orders-csv")
+    kind = F.col("o_orderkey") % 4
+    layouts = {
+        "a": (asked.where(kind < 2), MANY_FILES // 2),
+        "b": (asked.where(kind == 2).select(*asked.columns[::-1]), MANY_FILES // 4),
+        "c": (asked.where(kind == 3).toDF("O Orderkey", " o_CUSTKEY", "O-Orderstatus", "Cents", "O_orderpriority!").withColumn("note", F.lit("x, y")), MANY_FILES // 4),
+    }
+    for name, (rows, files) in layouts.items():
+        csv.write_csv(rows.repartition(files, rows.columns[0]), f"{source}/layout={name}")
+    rows, _ = csv.scan_csv(spark, f"{source}/*", asked.schema)
+    return rows
+
+
 def sink_parquet_roundtrip(spark: SparkSession, data: str) -> DataFrame:
     path = staging_path(spark, "part-parquet")
     tables.write_parquet(table(spark, data, "part"), path)
@@ -726,6 +746,7 @@ def answer_requests(spark: SparkSession, data: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_csv_roundtrip": scan_csv_roundtrip,
+    "csv_headers_many": csv_headers_many,
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
     "head_rows": head_rows,
     "normalize_columns": normalize_columns,
