@@ -2,14 +2,17 @@
 
 One pass gathers means and population covariances of features and label (as
 deviations, unlike raw sums of products), by fold where folds are asked for. What reaches the driver is a matrix of
-``(features + 1)`` squared numbers per fold; the solve happens there.
+``(features + 1)`` squared numbers per fold; the solve happens there. Where these
+show that features nearly depend on each other, a second pass takes triangles
+(:mod:`tsqr`), which keep the digits that co-moments lose.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +20,17 @@ from pyspark.sql import functions as F
 
 from tablaris.operators.moments import PairMoments, pair_moments
 from tablaris.operators.ordering import WINDOW_ROWS, cut_by_rank
+from tablaris.operators.tsqr import Triangle, triangles
 
 # FIXED VALUES: lower R² limits of the performance bands.
 GOOD_R2 = 0.80
 ACCEPTABLE_R2 = 0.50
 
+# Columns up to which co-moments are single aggregates; wider tables take products of matrices.
+NARROW = 12
+# Least eigenvalue of the features' correlations from which on their co-moments are enough.
+DISTINCT = 1e-6
+
 
 @dataclass(frozen=True)
 class LinearModel:
@@ -56,6 +65,30 @@ class Moments:
         return Moments(n, self.means + delta * (other.n / n), cov)
 
 
+    def distinct(self) -> bool:
+        """Whether the features are far enough from dependent to be solved for from here."""
+        sxx = self.cov[:-1, :-1]
+        scale = np.sqrt(np.diag(sxx))
+        if not len(scale) or not np.isfinite(sxx).all():
+            return True
+        if (scale == 0).any():
+            return False
+        return bool(np.linalg.eigvalsh(sxx / np.outer(scale, scale))[0] > DISTINCT)
+
+    def solve(self) -> tuple[float, np.ndarray, bool]:
+        return solve(self)
+
+    def score(self, intercept: float, coefficients: np.ndarray) -> tuple[float, float]:
+        """Mean squared error and R² of a fit on these rows."""
+        w, spread = coefficients, self.cov[-1, -1]
+        bias = self.means[-1] - intercept - self.means[:-1] @ w
+        mse = bias**2 + spread - 2 * (w @ self.cov[:-1, -1]) + w @ self.cov[:-1, :-1] @ w
+        mse = max(float(mse), 0.0)
+        if spread == 0:
+            return mse, 1.0 if mse == 0 else 0.0
+        return mse, 1 - mse / spread
+
+
 def _from_pairs(found: PairMoments | None, width: int) -> Moments:
     """Rows are complete here, so every pair has the same rows."""
     if found is None:
@@ -68,16 +101,53 @@ def _complete(df: DataFrame, columns: Sequence[str], *extra: str) -> DataFrame:
     return df.select(*doubles, *extra).na.drop("any", subset=list(columns))
 
 
+def _aggregated(rows: DataFrame, columns: Sequence[str], by: Sequence[str]) -> dict[object, Moments]:
+    """Moments by single aggregates, which stay inside generated code."""
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    found = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.avg(c) for c in columns]).alias("means"),
+        F.array(*[F.covar_pop(columns[i], columns[j]) for i, j in pairs]).alias("cov"),
+    )
+    out = {}
+    for row in found.collect():
+        if row["n"]:
+            cov = np.zeros((len(columns),) * 2)
+            for (i, j), value in zip(pairs, row["cov"]):
+                cov[i, j] = cov[j, i] = value
+            out[row[0] if by else None] = Moments(row["n"], np.array(row["means"]), cov)
+    return out
+
+
 def moments(df: DataFrame, features: Sequence[str], label: str) -> Moments:
     columns = [*features, label]
-    return _from_pairs(pair_moments(_complete(df, columns), columns).get(None), len(columns))
+    rows = _complete(df, columns)
+    if len(columns) <= NARROW:
+        return _aggregated(rows, columns, []).get(None) or _from_pairs(None, len(columns))
+    return _from_pairs(pair_moments(rows, columns).get(None), len(columns))
 
 
 def moments_by(df: DataFrame, features: Sequence[str], label: str, by: str) -> dict[int, Moments]:
     """Moments per value of a column of a stated few values, such as a fold."""
     columns = [*features, label]
-    found = pair_moments(_complete(df, columns, by), columns, by)
-    return {k: _from_pairs(m, len(columns)) for k, m in found.items()}
+    rows = _complete(df, columns, by)
+    if len(columns) <= NARROW:
+        return _aggregated(rows, columns, [by])
+    return {k: _from_pairs(m, len(columns)) for k, m in pair_moments(rows, columns, by).items()}
+
+
+def merged(parts: Iterable[Moments] | Iterable[Triangle]) -> Moments | Triangle:
+    return reduce(lambda a, b: a.merge(b), parts)
+
+
+def precise_by(
+    df: DataFrame, features: Sequence[str], label: str, by: str, found: dict[int, Moments]
+) -> dict[int, Moments] | dict[int, Triangle]:
+    """``found``, or triangles of the same rows if the features are close to dependent."""
+    if not found or merged(found.values()).distinct():
+        return found
+    columns = [*features, label]
+    return triangles(_complete(df, columns, by), columns, by)
 
 
 def solve(m: Moments) -> tuple[float, np.ndarray, bool]:
@@ -98,9 +168,19 @@ def solve(m: Moments) -> tuple[float, np.ndarray, bool]:
     return float(m.means[-1] - m.means[:-1] @ coefficients), coefficients, dependent
 
 
+def solve_rows(df: DataFrame, features: Sequence[str], label: str, found: Moments) -> tuple[float, np.ndarray, bool]:
+    """The solution for ``df``, whose moments are ``found``; one more pass if features are close to dependent."""
+    if found.n == 0 or found.distinct():
+        return solve(found)
+    columns = [*features, label]
+    center = dict(zip(columns, found.means.tolist()))
+    intercept, coefficients, dependent = triangles(_complete(df, columns), columns, center=center)[None].solve()
+    return float(intercept + found.means[-1] - found.means[:-1] @ coefficients), coefficients, dependent
+
+
 def fit(df: DataFrame, features: Sequence[str], label: str, name: str = "model") -> LinearModel:
     """Least-squares fit with intercept over the rows where all columns are known."""
-    intercept, coefficients, dependent = solve(moments(df, features, label))
+    intercept, coefficients, dependent = solve_rows(df, features, label, moments(df, features, label))
     return LinearModel(
         tuple(features), label, intercept, tuple(map(float, coefficients)), name, dependent
     )
@@ -196,16 +276,27 @@ def assign_folds(
     return cut_by_rank(df, order_by, ends, "fold", window_rows)
 
 
-def evaluate_moments(train: Moments, test: Moments) -> tuple[float, float]:
-    """MSE and R² of the train fit on the test rows, from their moments alone."""
-    intercept, w, _ = solve(train)
-    bias = test.means[-1] - intercept - test.means[:-1] @ w
-    spread = test.cov[-1, -1]
-    mse = bias**2 + spread - 2 * (w @ test.cov[:-1, -1]) + w @ test.cov[:-1, :-1] @ w
-    mse = max(float(mse), 0.0)
-    if spread == 0:
-        return mse, 1.0 if mse == 0 else 0.0
-    return mse, 1 - mse / spread
+def evaluate_moments(train: Moments | Triangle, test: Moments | Triangle) -> tuple[float, float]:
+    """MSE and R² of the train fit on the test rows, from what is known of both."""
+    intercept, w, _ = train.solve()
+    return test.score(intercept, w)
+
+
+def fold_scores(parts: dict[int, Moments] | dict[int, Triangle]) -> list[tuple[int, int, float, float]]:
+    """(fold, rows, MSE, R²) per fold; every fold is scored by a fit on the others."""
+    scores = []
+    for fold in sorted(parts):
+        train = merged(part for other, part in parts.items() if other != fold)
+        scores.append((fold, parts[fold].n, *evaluate_moments(train, parts[fold])))
+    return scores
+
+
+def check_folds(found: Iterable[int | None], folds: int, lead: str) -> None:
+    """Every row must have a fold, and every fold a row."""
+    if None in found:
+        raise ValueError(f"rows without {lead} have no place in the order")
+    if len(set(found)) < folds:
+        raise ValueError(f"{folds} folds need at least {folds} rows")
 
 
 def cross_validate(
@@ -224,22 +315,10 @@ def cross_validate(
     columns = [*features, label]
     keep = [c for c in order_by if c not in columns]
     complete = df.select(*columns, *keep).na.drop("any", subset=columns)
-    found = moments_by(
-        assign_folds(complete, order_by, folds, window_rows), features, label, "fold"
-    )
-    if None in found:
-        raise ValueError(f"rows without {order_by[0]} have no place in the order")
-    if len(found) < folds:
-        raise ValueError(f"{folds} folds need at least {folds} rows")
-    empty = Moments(0, np.zeros(len(columns)), np.zeros((len(columns), len(columns))))
-    scores = []
-    for fold in sorted(found):
-        train = empty
-        for other, part in found.items():
-            if other != fold:
-                train = part if train.n == 0 else train.merge(part)
-        scores.append((fold, found[fold].n, *evaluate_moments(train, found[fold])))
-    return scores
+    folded = assign_folds(complete, order_by, folds, window_rows)
+    found = moments_by(folded, features, label, "fold")
+    check_folds(found, folds, order_by[0])
+    return fold_scores(precise_by(folded, features, label, "fold", found))
 
 
 def cross_validation_table(

@@ -14,14 +14,17 @@ from tablaris.operators.ordering import WINDOW_ROWS
 from tablaris.operators.regression import (
     LinearModel,
     Moments,
+    assign_folds,
+    check_folds,
     coefficient_signs,
     coefficient_table,
-    cross_validate,
     equation,
     evaluate_moments,
+    fold_scores,
+    merged,
     moments_by,
     performance_band,
-    solve,
+    precise_by,
 )
 from tablaris.operators.split import train_test_split
 from tablaris.sources.staging import stage
@@ -135,21 +138,26 @@ def train(
 ) -> TrainReport:
     """Split by ``keys``, fit on the training part, evaluate, cross-validate.
 
-    Fit, test scores, correlations and trends all come from one pass that
-    gathers the moments of both parts; the folds, contiguous in ``order_by``,
-    take their edges and one more pass.
+    Fit, test scores, correlations, trends and folds all come from one pass that
+    gathers the moments of both parts in every fold, after the edges of the folds,
+    which are contiguous in ``order_by``.
     """
     order = list(order_by or keys)
     # The source is read once; every later pass scans these few columns.
     data = stage(prepare(df, features, label, [*keys, *order]), "prepared")
     split = train_test_split(data, keys, test_share, seed, exact_split)
-    parts = moments_by(split, features, label, "is_test")
-    if set(parts) != {0, 1}:
+    sides = assign_folds(split, order, folds, window_rows).withColumn("part", F.col("fold") * 2 + F.col("is_test"))
+    found = moments_by(sides, features, label, "part")
+    check_folds([None if p is None else p // 2 for p in found], folds, order[0])
+    if {p % 2 for p in found} != {0, 1}:
         raise ValueError("the split left one side empty")
-    intercept, coefficients, dependent = solve(parts[0])
+    precise = precise_by(sides, features, label, "part", found)
+    parts = [merged(m for p, m in precise.items() if p % 2 == side) for side in (0, 1)]
+    intercept, coefficients, dependent = parts[0].solve()
     model = LinearModel(
         tuple(features), label, intercept, tuple(map(float, coefficients)), name, dependent
     )
     mse, r2 = evaluate_moments(parts[0], parts[1])
-    scores = cross_validate(data, features, label, order, folds, window_rows)
-    return TrainReport(model, parts[0], parts[1], mse, r2, scores)
+    scores = fold_scores({fold: merged(m for p, m in precise.items() if p // 2 == fold) for fold in range(folds)})
+    known = [merged(m for p, m in found.items() if p % 2 == side) for side in (0, 1)]
+    return TrainReport(model, known[0], known[1], mse, r2, scores)

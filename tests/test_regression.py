@@ -1,10 +1,13 @@
 import math
+import random
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tablaris.operators import regression, tsqr
 from tablaris.operators.regression import (
     LinearModel,
     assign_folds,
@@ -189,3 +192,83 @@ def test_cross_validation_needs_a_place_for_every_row(spark):
     rows = [(i, float(i), float(i)) for i in range(9)] + [(None, 1.0, 1.0)]
     with pytest.raises(ValueError, match="id"):
         cross_validate(spark.createDataFrame(rows, "id int, x double, y double"), ["x"], "y", ["id"], 3)
+
+
+def exact_fit(rows):
+    """Least squares in rational arithmetic, which loses nothing; rows end with the label."""
+    design = [[Fraction(1), *map(Fraction, r)] for r in rows]
+    width = len(design[0]) - 1
+    normal = [[sum(r[i] * r[j] for r in design) for j in range(width + 1)] for i in range(width)]
+    for i in range(width):
+        pivot = next(k for k in range(i, width) if normal[k][i])
+        normal[i], normal[pivot] = normal[pivot], normal[i]
+        normal[i] = [v / normal[i][i] for v in normal[i]]
+        for k in range(width):
+            if k != i:
+                normal[k] = [a - normal[k][i] * b for a, b in zip(normal[k], normal[i])]
+    return [float(r[-1]) for r in normal]
+
+
+def close_columns(apart, count=400):
+    pick = random.Random(3)
+    rows = []
+    for _ in range(count):
+        a, b, d = pick.random(), pick.random(), pick.randrange(1, 9)
+        rows.append((a, a + apart * d, b, 2 + a - 3 * b + d + pick.random() / 100))
+    return rows
+
+
+@pytest.mark.parametrize("apart", [1e-3, 1e-6, 1e-9])
+def test_nearly_dependent_columns_keep_their_digits(spark, apart):
+    rows = close_columns(apart)
+    df = spark.createDataFrame(rows, "a double, c double, b double, y double").repartition(7)
+    model = regression.fit(df, ["a", "c", "b"], "y")
+    assert not model.rank_deficient
+    assert [model.intercept, *model.coefficients] == pytest.approx(exact_fit(rows), rel=1e-4)
+
+
+def test_triangles_say_what_depends(spark):
+    rows = [(float(i), 3.0 * i, float(i * i % 7), float(2 * i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, c double, b double, y double")
+    model = regression.fit(df, ["a", "c", "b"], "y")
+    assert model.rank_deficient and model.coefficients == pytest.approx((0.2, 0.6, 0.0), abs=1e-9)  # the shortest
+    one = regression.fit(df.limit(1), ["a", "b"], "y")
+    assert one.rank_deficient and one.coefficients == pytest.approx((0.0, 0.0)) and one.intercept == pytest.approx(rows[0][3])
+    with pytest.raises(ValueError, match="no complete rows"):
+        regression.fit(df.limit(0), ["a"], "y")
+
+
+def test_triangles_are_merged_in_a_tree(spark, monkeypatch):
+    rows = close_columns(1e-7, 90)
+    df = spark.createDataFrame(rows, "a double, c double, b double, y double").withColumn("side", F.expr("int(a * 3)")).repartition(20)
+    want = tsqr.triangles(df, ["a", "c", "b", "y"], "side")
+    monkeypatch.setattr(tsqr, "FAN_IN", 3)
+    got = tsqr.triangles(df, ["a", "c", "b", "y"], "side")
+    assert set(got) == {0, 1, 2} and sum(t.n for t in got.values()) == 90
+    for side, t in got.items():
+        own = [r for r in rows if int(r[0] * 3) == side]
+        assert [t.solve()[0], *t.solve()[1]] == pytest.approx(exact_fit(own), rel=1e-3)
+        assert t.score(1.0, np.array([1.0, 2.0, 3.0])) == pytest.approx(want[side].score(1.0, np.array([1.0, 2.0, 3.0])))
+        y = np.array([r[3] for r in own])
+        left = y - 1 - np.array([r[:3] for r in own]) @ [1, 2, 3]
+        assert t.score(1.0, np.array([1.0, 2.0, 3.0])) == pytest.approx((np.mean(left**2), 1 - np.mean(left**2) / np.var(y)))
+
+
+def test_wide_and_narrow_moments_agree(spark, monkeypatch):
+    df = spark.range(300).selectExpr("id % 7 * 1.5D AS a", "rand(1) AS b", "rand(2) + id AS y", "if(id % 11 = 0, null, id % 2) AS side")
+    narrow = regression.moments_by(df, ["a", "b"], "y", "side")
+    monkeypatch.setattr(regression, "NARROW", 1)
+    wide = regression.moments_by(df, ["a", "b"], "y", "side")
+    assert set(narrow) == set(wide) == {None, 0, 1}
+    for side, m in narrow.items():
+        assert m.n == wide[side].n and m.means == pytest.approx(wide[side].means) and m.cov == pytest.approx(wide[side].cov)
+
+
+def test_folds_of_nearly_dependent_columns(spark):
+    rows = [(i, *r) for i, r in enumerate(close_columns(1e-9, 100))]
+    df = spark.createDataFrame(rows, "id int, a double, c double, b double, y double")
+    for fold, n, mse, _ in regression.cross_validate(df, ["a", "c", "b"], "y", ["id"]):
+        inside = [r[1:] for r in rows if r[0] // 20 == fold]
+        b0, *b = exact_fit([r[1:] for r in rows if r[0] // 20 != fold])
+        left = [r[3] - b0 - sum(x * c for x, c in zip(r, b)) for r in inside]
+        assert n == 20 and mse == pytest.approx(sum(e * e for e in left) / 20, rel=1e-3)

@@ -438,6 +438,33 @@ ORACLES: dict[str, str] = {
       round(avg(r2), 6) FROM fold_scores""",
     "train_report": f"""WITH {SPLIT_FIT},
       {FOLDED} SELECT metric, round(value, 3) AS value FROM ({METRIC_ROWS})""",
+    "cross_validate_by_date": """WITH rows AS (
+        SELECT CAST(left(o_orderpriority, 1) AS INTEGER) AS p, o_custkey % 100 AS c, o_totalprice / 1000 + dayofyear(o_orderdate) * 3 AS y,
+          CAST(ntile(5) OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS INTEGER) AS fold FROM orders),
+      stats AS (
+        SELECT f.fold, avg(p) AS mp, avg(c) AS mc, avg(y) AS my, covar_pop(p, p) AS pp, covar_pop(c, c) AS cc, covar_pop(p, c) AS pc,
+          covar_pop(p, y) AS py, covar_pop(c, y) AS cy
+        FROM rows JOIN (SELECT DISTINCT fold FROM rows) f ON rows.fold <> f.fold GROUP BY f.fold),
+      fits AS (SELECT *, (py * cc - cy * pc) / (pp * cc - pc * pc) AS b1, (cy * pp - py * pc) / (pp * cc - pc * pc) AS b2 FROM stats),
+      scores AS (
+        SELECT fold, count(*) AS n, avg(pow(y - (my + b1 * (p - mp) + b2 * (c - mc)), 2)) AS mse, var_pop(y) AS spread
+        FROM rows JOIN fits USING (fold) GROUP BY fold)
+      SELECT fold, n, round(mse, 5) AS mse, round(1 - mse / spread, 5) AS r2 FROM scores
+      UNION ALL SELECT NULL, CAST(sum(n) AS BIGINT), round(avg(mse), 5), round(avg(1 - mse / spread), 5) FROM scores""",
+    # The difference of two columns this close is exact in doubles, and no longer close to either.
+    "ols_ill_conditioned": """WITH given AS (
+        SELECT l_quantity / 50 AS x1, l_quantity / 50 + 1e-9::DOUBLE * l_linenumber AS x2, l_tax AS t,
+          (l_extendedprice * (1 - l_discount) * (1 + l_tax)) / 1000 + 20 * l_linenumber AS y FROM lineitem),
+      rows AS (SELECT x1 AS a, (x2 - x1) * 1e9::DOUBLE AS d, t, y FROM given),
+      s AS (SELECT avg(a) AS ma, avg(d) AS md, avg(t) AS mt, avg(y) AS my, covar_pop(a, a) AS aa, covar_pop(d, d) AS dd, covar_pop(t, t) AS tt,
+        covar_pop(a, d) AS ad, covar_pop(a, t) AS at_, covar_pop(d, t) AS dt, covar_pop(a, y) AS ay, covar_pop(d, y) AS dy, covar_pop(t, y) AS ty FROM rows),
+      det AS (SELECT *, aa * (dd * tt - dt * dt) - ad * (ad * tt - dt * at_) + at_ * (ad * dt - dd * at_) AS det FROM s),
+      b AS (SELECT *,
+        (ay * (dd * tt - dt * dt) - ad * (dy * tt - dt * ty) + at_ * (dy * dt - dd * ty)) / det AS ba,
+        (aa * (dy * tt - dt * ty) - ay * (ad * tt - dt * at_) + at_ * (ad * ty - dy * at_)) / det AS bd,
+        (aa * (dd * ty - dy * dt) - ad * (ad * ty - dy * at_) + ay * (ad * dt - dd * at_)) / det AS bt FROM det)
+      SELECT false AS dependent, round(my - ba * ma - bd * md - bt * mt, 1) AS intercept, round(ba, 1) AS "sum", round(bd, 1) AS apart,
+        round(bt, 1) AS l_tax FROM b""",
     "folds_by_date": """SELECT o_orderkey, CAST(ntile(5) OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS INTEGER) AS fold
       FROM orders""",
     "folds_by_text": """SELECT c_custkey, CAST(ntile(5) OVER (ORDER BY c_mktsegment, c_name) - 1 AS INTEGER) AS fold

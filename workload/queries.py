@@ -591,6 +591,38 @@ def cross_validate(spark: SparkSession, data: str) -> DataFrame:
     return rounded(rounded(found, "mse", digits=3), "r2", digits=6)
 
 
+def dated_orders(spark: SparkSession, data: str) -> DataFrame:
+    return table(spark, data, "orders").select(
+        "o_orderkey",
+        "o_orderdate",
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+        (F.col("o_custkey") % 100).alias("client"),
+        (F.col("o_totalprice") / 1000 + F.dayofyear("o_orderdate") * 3).alias("total"),
+    )
+
+
+def cross_validate_by_date(spark: SparkSession, data: str) -> DataFrame:
+    """Folds, fits and scores in the order of a date, many orders to a day."""
+    scores = regression.cross_validate(dated_orders(spark, data), ["priority", "client"], "total", ["o_orderdate", "o_orderkey"])
+    return rounded(regression.cross_validation_table(spark, scores), "mse", "r2", digits=5)
+
+
+def ols_ill_conditioned(spark: SparkSession, data: str) -> DataFrame:
+    """Two columns that differ by a few times 1e-9 of their size, each with an effect of its own."""
+    share = F.col("l_quantity") / 50
+    lines = charges(spark, data).select(
+        share.alias("x1"),
+        (share + F.lit(1e-9) * F.col("l_linenumber")).alias("x2"),
+        "l_tax",
+        (F.col(LABEL) / 1000 + 20 * F.col("l_linenumber")).alias("y"),
+    )
+    m = regression.fit(lines, ["x1", "x2", "l_tax"], "y")
+    b1, b2, b3 = m.coefficients
+    row = (m.rank_deficient, float(m.intercept), b1 + b2, b2 / 1e9, b3)
+    found = spark.createDataFrame([row], "dependent boolean, intercept double, sum double, apart double, l_tax double")
+    return rounded(found, "intercept", "sum", "apart", "l_tax", digits=1)
+
+
 def folds_by_date(spark: SparkSession, data: str) -> DataFrame:
     """Folds in the order of a date, many orders to a day."""
     folds = regression.assign_folds(table(spark, data, "orders"), ["o_orderdate", "o_orderkey"], 5)
@@ -794,6 +826,8 @@ QUERIES: dict[str, Query] = {
     "coefficient_sign": coefficient_sign,
     "coefficient_impact": coefficient_impact,
     "cross_validate": cross_validate,
+    "cross_validate_by_date": cross_validate_by_date,
+    "ols_ill_conditioned": ols_ill_conditioned,
     "folds_by_date": folds_by_date,
     "folds_by_text": folds_by_text,
     "train_report": train_report,
