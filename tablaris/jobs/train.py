@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--keys", required=True, help="columns that identify a row")
     parser.add_argument("--order", help="row order of the folds, default the keys")
     parser.add_argument("--name", default="model")
+    parser.add_argument("--display", default="", help="what answers call the model")
     parser.add_argument("--model-out", required=True)
     parser.add_argument("--summary-out", required=True)
     args = parser.parse_args(argv)
@@ -32,6 +33,7 @@ def main(argv: list[str] | None = None) -> None:
             args.keys.split(","),
             args.order.split(",") if args.order else None,
             args.name,
+            display=args.display,
         )
         save_models(spark, [report.model], args.model_out)
         write_parquet(report.summary(spark).coalesce(1), args.summary_out)

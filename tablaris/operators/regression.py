@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import datetime
 from functools import reduce
 
 import numpy as np
@@ -45,6 +46,8 @@ class LinearModel:
     rank_deficient: bool = False
     # Shown in answers instead of the name, if given.
     display: str = ""
+    # When it was fitted; not part of what makes models equal.
+    fitted_at: datetime | None = field(default=None, compare=False)
 
 
 @dataclass(frozen=True)
@@ -182,7 +185,7 @@ def fit(df: DataFrame, features: Sequence[str], label: str, name: str = "model")
     """Least-squares fit with intercept over the rows where all columns are known."""
     intercept, coefficients, dependent = solve_rows(df, features, label, moments(df, features, label))
     return LinearModel(
-        tuple(features), label, intercept, tuple(map(float, coefficients)), name, dependent
+        tuple(features), label, intercept, tuple(map(float, coefficients)), name, dependent, fitted_at=datetime.now()
     )
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,6 +16,10 @@ from tablaris.functions.names import normalize_name
 from tablaris.functions.parse import is_finite, parse_number, trimmed
 from tablaris.operators.conform import column_sources
 from tablaris.operators.regression import LinearModel, predict
+from tablaris.sources.staging import stage
+
+# Keys that a frequent exercise is spread over, and the share of requests that makes it one.
+SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -123,6 +128,58 @@ def _message(template: str, value: Column) -> Column:
     return F.concat(F.lit(before), value, F.lit(after))
 
 
+def catalogue(spark: SparkSession, exercises: Sequence[Exercise]) -> DataFrame:
+    """Exercises as rows, for :func:`score_with_models`; any table of these columns will do."""
+    rows = [(e.key, e.title, e.model, e.target, e.display, list(e.fields)) for e in exercises]
+    return spark.createDataFrame(rows, CATALOGUE)
+
+
+CATALOGUE = "exercise string, title string, model string, target string, display string, fields array<struct<name: string, label: string>>"
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _normalized(names: pd.Series) -> pd.Series:
+    return names.map(lambda own: None if own is None else [None if n is None else normalize_name(n) for n in own])
+
+
+def model_lookup(exercises: DataFrame, models: DataFrame, messages: Messages) -> DataFrame:
+    """The columns of :func:`exercise_lookup` from tables: exercises, and models packed as stored.
+
+    Models are joined by name, and variables bound to fields by normalized name (of
+    fields that share one, the last), in columns: nothing is fetched, however many
+    there are. Names of exercises and of models are distinct.
+    """
+    known = models.select("model", F.col("target").alias("m_target"), F.col("display").alias("m_display"), "intercept", "terms")
+    joined = exercises.join(known, "model", "left").select(
+        "*",
+        _normalized(F.transform("fields", lambda f: f["name"])).alias("f_plain"),
+        _normalized(F.transform("terms", lambda t: t["term"])).alias("t_plain"),
+    )
+    names, plain = F.reverse(F.transform("fields", lambda f: f["name"])), F.reverse("f_plain")
+    bound = F.transform(
+        "terms",
+        lambda t, i: F.struct(
+            F.get(names, F.array_position(plain, F.get("t_plain", i)).cast("int") - 1).alias("field"), t["coefficient"].alias("coefficient"), t["term"].alias("term")
+        ),
+    )
+    joined = joined.withColumn("bound", bound)
+    lost = F.transform(F.filter("bound", lambda b: b["field"].isNull()), lambda b: b["term"])
+    problem = F.when(F.col("intercept").isNull(), _message(messages.no_model, F.col("model"))).when(
+        F.size(lost) > 0, _message(messages.unmapped, F.array_join(lost, ", "))
+    )
+    found = F.col("intercept").isNotNull()
+    return joined.select(
+        "exercise",
+        "title",
+        F.when(found, F.coalesce(F.nullif("m_display", F.lit("")), F.nullif("model", F.lit("")), "display")).alias("model"),
+        F.coalesce(F.nullif("m_target", F.lit("")), "target").alias("target"),
+        problem.alias("problem"),
+        "fields",
+        "intercept",
+        F.transform("bound", lambda b: F.struct(b["field"].alias("field"), b["coefficient"].alias("coefficient"))).alias("terms"),
+    )
+
+
 def score_requests(
     requests: DataFrame,
     exercises: Sequence[Exercise],
@@ -138,11 +195,37 @@ def score_requests(
     execution splits an exercise that most requests name. After that all is row-local.
     """
     texts = messages or Messages()
-    lookup = exercise_lookup(requests, exercises, models, texts).withColumnRenamed(
-        "fields", "form"
-    )
-    asked = requests.withColumn("exercise", trimmed(F.col("exercise")))
-    joined = asked.join(lookup, "exercise", "left")
+    return _answers(requests, exercise_lookup(requests, exercises, models, texts), texts)
+
+
+def score_with_models(
+    requests: DataFrame, exercises: DataFrame, models: DataFrame, messages: Messages | None = None, salts: int = SALTS
+) -> DataFrame:
+    """:func:`score_requests` with exercises and models as tables, of any size.
+
+    ``exercises`` has the columns of :func:`catalogue`, ``models`` those of stored
+    models. An exercise named by more than one request in ``salts`` (there are
+    fewer than that many, found by one aggregate) is spread over as many keys.
+    """
+    texts = messages or Messages()
+    lookup = model_lookup(exercises, models, texts)
+    hashed = [f.name for f in requests.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant", "interval"))]
+    counts = requests.groupBy(trimmed(F.col("exercise")).alias("exercise")).agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(counts, "asked")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = [r["exercise"] for r in counts.where((F.col("n") * salts > total) & F.col("exercise").isNotNull()).collect()]
+    if not hot:
+        return _answers(requests, lookup, texts)
+    spread = F.col("exercise").isin(hot)
+    lookup = lookup.withColumn("_salt", F.explode(F.when(spread, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    salt = F.when(trimmed(F.col("exercise")).isin(hot), F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")).otherwise(0)
+    return _answers(requests, lookup, texts, salt)
+
+
+def _answers(requests: DataFrame, lookup: DataFrame, texts: Messages, salt: Column | None = None) -> DataFrame:
+    lookup = lookup.withColumnRenamed("fields", "form")
+    asked = requests.withColumns({"exercise": trimmed(F.col("exercise")), **({} if salt is None else {"_salt": salt})})
+    joined = asked.join(lookup, "exercise" if salt is None else ["exercise", "_salt"], "left")
 
     def given(name: Column) -> Column:
         return trimmed(F.coalesce(F.try_element_at("fields", name), F.lit("")))

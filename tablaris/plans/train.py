@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,6 +136,7 @@ def train(
     exact_split: bool = False,
     folds: int = 5,
     window_rows: int = WINDOW_ROWS,
+    display: str = "",
 ) -> TrainReport:
     """Split by ``keys``, fit on the training part, evaluate, cross-validate.
 
@@ -155,7 +157,7 @@ def train(
     parts = [merged(m for p, m in precise.items() if p % 2 == side) for side in (0, 1)]
     intercept, coefficients, dependent = parts[0].solve()
     model = LinearModel(
-        tuple(features), label, intercept, tuple(map(float, coefficients)), name, dependent
+        tuple(features), label, intercept, tuple(map(float, coefficients)), name, dependent, display, datetime.now()
     )
     mse, r2 = evaluate_moments(parts[0], parts[1])
     scores = fold_scores({fold: merged(m for p, m in precise.items() if p // 2 == fold) for fold in range(folds)})

@@ -5,7 +5,7 @@ from tablaris.operators.regression import LinearModel
 from tablaris.operators.scoring import bind_features, score_named, score_requests
 from tablaris.plans.presets import EXERCISES, MESSAGES
 from tablaris.plans.score import score_with_stored_models
-from tablaris.sources.models import ModelError, load_models, save_models
+from tablaris.sources.models import ModelError, load_models, read_model_table, save_models
 from tablaris.streaming.row_local import write_stream
 
 DOLAR = LinearModel(("dia", "Inflación", "Tasa Interes"), "precio_dolar", 10.0, (1.0, 2.0, 4.0), "dolar")
@@ -94,7 +94,7 @@ def test_bad_model_tables_are_refused(spark, tmp_path):
     with pytest.raises(ModelError, match="lacks"):
         load_models(spark, str(tmp_path / "other"), ["a", "dolar", "m", "x"])
     save_models(spark, [DOLAR], str(tmp_path / "whole"))
-    holed = spark.read.parquet(str(tmp_path / "whole")).where("position <> 1")
+    holed = read_model_table(spark, str(tmp_path / "whole")).where("position <> 1")
     holed.write.parquet(str(tmp_path / "holed"))
     with pytest.raises(ModelError, match="incomplete"):
         load_models(spark, str(tmp_path / "holed"), ["a", "dolar", "m", "x"])

@@ -483,7 +483,33 @@ ORACLES: dict[str, str] = {
       round(quantile_cont(o_totalprice, 0.5), 4) AS q50, round(quantile_cont(o_totalprice, 0.75), 4) AS q75,
       max(o_totalprice) AS max FROM orders""",
     "model_table_roundtrip": f"""WITH {FIT}, {TERMS} SELECT 'charge' AS model, 'charge' AS target,
-      term, CAST(position AS INTEGER) AS position, round(coefficient, 4) AS coefficient FROM terms""",
+      term, CAST(position AS INTEGER) AS position, round(coefficient, 4) AS coefficient,
+      'Charge of a line' AS display, false AS rank_deficient, 1::BIGINT AS version FROM terms""",
+    "model_versions": f"""WITH lines AS (SELECT *, {CHARGE} AS charge FROM lineitem), fits AS ("""
+    + union([f"SELECT '{f}' AS name, round(regr_intercept(charge, {f}), 4) AS a, round(regr_slope(charge, {f}), 4) AS b FROM lines" for f in FEATURES])
+    + """),
+      first AS (SELECT name AS model, 'charge' AS target, name AS term, a, b, '' AS display, 1 AS version FROM fits),
+      second AS (
+        SELECT * FROM first WHERE model <> 'l_tax' UNION ALL SELECT name, 'charge', name, -1.5, b, 'Second', 2 FROM fits WHERE name = 'l_tax'
+        UNION ALL SELECT 'new', '', name, a, b, '', 2 FROM fits WHERE name = 'l_tax'),
+      every AS (SELECT *, 1 AS asked FROM first UNION ALL SELECT *, 2 FROM second UNION ALL SELECT *, 3 FROM second)
+      SELECT model, target, 'intercept' AS term, 0 AS position, a AS coefficient, display, false AS rank_deficient, version::BIGINT AS version, asked FROM every
+      UNION ALL SELECT model, target, term, 1, b, display, false, version::BIGINT, asked FROM every""",
+    "score_requests_many": """WITH asked AS (
+        SELECT l_orderkey, l_partkey, l_linenumber, CAST(l_quantity AS INTEGER) AS q, round(l_tax * 100) / 100 AS t,
+          CASE WHEN (l_partkey + l_linenumber) % 10 < 9 THEN 7 WHEN l_orderkey % 13 = 0 THEN -l_orderkey ELSE l_orderkey END AS k,
+          l_orderkey % 17 = 0 AND l_linenumber = 3 AS empty, l_orderkey % 19 = 0 AND l_linenumber = 2 AS wrong FROM lineitem),
+      judged AS (
+        SELECT *, CASE WHEN o_orderkey IS NULL THEN 'Unknown exercise.'
+          WHEN empty THEN 'Field ''Quantity'' is required.' WHEN wrong THEN 'Field ''Tax'' must be numeric.'
+          WHEN k % 50 = 0 THEN 'No model found: m' || k WHEN k % 41 = 0 THEN 'Model variables without a value: Weight' END AS error
+        FROM asked LEFT JOIN orders ON o_orderkey = k)
+      SELECT l_orderkey, l_partkey, l_linenumber, 'e' || k AS exercise, error,
+        CASE WHEN error IS NULL THEN 'Order ' || o_orderstatus END AS title,
+        CASE WHEN error IS NULL THEN CASE WHEN k % 10 = 1 THEN 'Model of order ' ELSE 'm' END || k END AS model,
+        CASE WHEN error IS NULL THEN CASE WHEN k % 3 = 0 THEN 'price' ELSE 'cost' END END AS target,
+        CASE WHEN error IS NULL THEN round(k % 100 / 4 + CASE WHEN k % 3 = 1 THEN 1000 ELSE 0 END + q * (k % 7 + 0.5) + t * (k % 5 * 0.25), 6)::DOUBLE END AS value
+      FROM judged""",
     "score_table": f"""WITH {FIT}, {SHORT} SELECT l_orderkey, l_partkey, l_linenumber,
       l_extendedprice, l_discount, l_tax,
       round(b0 + b1 * l_extendedprice + b2 * l_discount + b3 * l_tax, 6) AS prediction

@@ -24,9 +24,10 @@ from tablaris.operators.split import train_test_split
 from tablaris.operators.validate import drop_nulls, is_valid, keep_valid, validity_counts
 from tablaris.plans.clean import CleanResult, clean, clean_csv
 from tablaris.plans.presets import ENERGY, EXERCISES, GLUCOSE, MESSAGES
+from tablaris.plans.score import score_with_many_models
 from tablaris.plans.train import train
 from tablaris.sources import csv, tables
-from tablaris.sources.models import load_models, read_model_table, save_models
+from tablaris.sources.models import load_models, packed, read_model_table, save_model_rows, save_models
 from tablaris.sources.staging import stage, staging_path
 from tablaris.spec import CleanSpec, Field, Rule
 
@@ -675,12 +676,25 @@ def with_short_numbers(model: LinearModel) -> LinearModel:
 
 def stored_charge_model(spark: SparkSession, data: str) -> str:
     path = staging_path(spark, "model")
-    save_models(spark, [with_short_numbers(charge_model(spark, data))], path)
+    save_models(spark, [replace(with_short_numbers(charge_model(spark, data)), display="Charge of a line")], path)
     return path
 
 
 def model_table_roundtrip(spark: SparkSession, data: str) -> DataFrame:
-    return read_model_table(spark, stored_charge_model(spark, data))
+    return read_model_table(spark, stored_charge_model(spark, data)).drop("fitted_at")
+
+
+def model_versions(spark: SparkSession, data: str) -> DataFrame:
+    """Saved, partly replaced, and a save that did not end: every model as of each version."""
+    path = staging_path(spark, "models")
+    lines = charges(spark, data)
+    fits = {c: with_short_numbers(regression.fit(lines, [c], LABEL, c)) for c in FEATURES}
+    save_models(spark, list(fits.values()), path)
+    save_models(spark, [replace(fits["l_tax"], intercept=-1.5, display="Second"), replace(fits["l_tax"], name="new", target="")], path)
+    packed(spark, [replace(fits["l_tax"], intercept=9.0)]).write.parquet(f"{path}/models/run=unfinished")
+    asked = [(1, 1), (2, 2), (3, None)]
+    found = [read_model_table(spark, path, v).drop("fitted_at").withColumn("asked", F.lit(i)) for i, v in asked]
+    return found[0].union(found[1]).union(found[2])
 
 
 def score_table(spark: SparkSession, data: str) -> DataFrame:
@@ -776,6 +790,57 @@ def answer_requests(spark: SparkSession, data: str) -> DataFrame:
     return rounded(answers.select(*kept), "value", digits=6)
 
 
+HOT_ORDER = 7
+
+
+def order_models(spark: SparkSession, data: str, path: str) -> None:
+    """A model for nearly every order, in two versions."""
+    key = F.col("o_orderkey")
+
+    def term(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("term"), value.cast("double").alias("coefficient"))
+
+    two = F.array(term("Quantity", key % 7 + 0.5), term("Täx ", key % 5 * 0.25))
+    models = table(spark, data, "orders").where(key % 50 != 0).select(
+        F.concat(F.lit("m"), key).alias("model"),
+        F.when(key % 3 == 0, "").otherwise(F.lit("cost")).alias("target"),
+        F.when(key % 10 == 1, F.concat(F.lit("Model of order "), key)).otherwise("").alias("display"),
+        (key % 100 / 4).cast("double").alias("intercept"),
+        F.when(key % 41 == 0, F.concat(two, F.array(term("Weight", F.lit(1))))).otherwise(two).alias("terms"),
+        F.lit(False).alias("rank_deficient"),
+        F.lit(None).cast("timestamp").alias("fitted_at"),
+        key.alias("key"),
+    )
+    save_model_rows(models, path)
+    save_model_rows(models.where("key % 3 = 1").withColumn("intercept", F.col("intercept") + 1000), path)
+
+
+def score_requests_many(spark: SparkSession, data: str) -> DataFrame:
+    """Every line scored by the model of its order, but nine in ten by the model of one order."""
+    path = staging_path(spark, "order-models")
+    order_models(spark, data, path)
+    key = F.col("o_orderkey")
+    fields = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("label")) for n, t in (("quantity", "Quantity"), ("tax", "Tax"))])
+    exercises = table(spark, data, "orders").select(
+        F.concat(F.lit("e"), key).alias("exercise"),
+        F.concat(F.lit("Order "), "o_orderstatus").alias("title"),
+        F.concat(F.lit("m"), key).alias("model"),
+        F.lit("price").alias("target"),
+        F.lit("Model").alias("display"),
+        fields.alias("fields"),
+    )
+    line, order = F.col("l_linenumber"), F.col("l_orderkey")
+    own = F.when((F.col("l_partkey") + line) % 10 < 9, F.lit(HOT_ORDER)).when(order % 13 == 0, -order).otherwise(order)
+    quantity = F.when((order % 17 == 0) & (line == 3), " ").otherwise(F.col("l_quantity").cast("int").cast("string"))
+    tax = F.when((order % 19 == 0) & (line == 2), "none").otherwise(F.concat(F.lit(" "), (cents("l_tax") / 100).cast("string")))
+    asked = table(spark, data, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        F.concat(F.lit(" e"), own).alias("exercise"),
+        F.create_map(F.lit("quantity"), quantity, F.lit("tax"), tax).alias("fields"),
+    )
+    return rounded(score_with_many_models(spark, asked, path, exercises).drop("value_text", "l_suppkey"), "value", digits=6)
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv_roundtrip": scan_csv_roundtrip,
     "csv_headers_many": csv_headers_many,
@@ -835,6 +900,8 @@ QUERIES: dict[str, Query] = {
     "correlation_wide": correlation_wide,
     "describe_decimal": describe_decimal,
     "model_table_roundtrip": model_table_roundtrip,
+    "model_versions": model_versions,
+    "score_requests_many": score_requests_many,
     "score_table": score_table,
     "score_named_features": score_named_features,
     "score_requests": answer_requests,
