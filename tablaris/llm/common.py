@@ -42,17 +42,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-_built: list[tuple[object, object]] = []
+_built: dict[object, tuple[object, object]] = {}
 
 
 def once(shared, build):
-    """``build(shared.value)``, made once in each Python worker; ``shared`` is a broadcast."""
-    for held, built in _built:
-        if held is shared:
-            return built
-    _built.append((shared, build(shared.value)))
-    del _built[:-4]
-    return _built[-1][1]
+    """``build(shared.value)``, made once in each Python worker; ``shared`` is a broadcast.
+
+    Of each place that builds something a worker keeps the last one only, so what
+    several jobs in turn build does not add up.
+    """
+    held, built = _built.get(build.__code__, (None, None))
+    if held is not shared:
+        _built.pop(build.__code__, None)
+        built = build(shared.value)
+        _built[build.__code__] = shared, built
+    return built
 
 
 def components(edges: DataFrame, label: str = "components", rounds: int = 60) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablaris.llm.bpe import Bpe, blocks
+from tablaris.llm.bpe import Bpe, ragged, slices
 from tablaris.llm.common import once, table
 
 CAPACITY = 1024
@@ -49,24 +49,19 @@ def pieces(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, place = once(shared, lambda text: Bpe.of_tokenizer(text, public_tokenizers.PATTERN, encode_special_tokens=False)), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for at, texts in blocks(batch.column("text")):
-                row, start, length, tokens, ids = [], [], [], [], []
-                for i, own in enumerate(encoder.encode(texts)):
-                    own += end
-                    for a in range(0, len(own), 4 * size):
-                        cut = own[a : a + 4 * size]
-                        row.append(at + i)
-                        start.append(a // 4)
-                        length.append(len(cut) // 4)
-                        tokens.append(len(own) // 4)
-                        ids.append(cut)
-                places = np.arange(place, place + len(row))
+            for at, texts in slices(batch.column("text")):
+                ids, ends = encoder.gather(texts)
+                whole = np.diff(ends) + 1  # with the closing id
+                ids = np.insert(ids, ends[1:], np.frombuffer(end, "<i4"))
+                parts = -(-whole // size)
+                row = np.repeat(np.arange(len(texts)), parts)
+                start = ragged(np.zeros(len(parts), np.int64), parts) * size
+                length = np.minimum(whole[row] - start, size)
+                offsets = 4 * np.concatenate([[0], np.cumsum(length)])
+                binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+                columns = [start, length, whole[row], binary.cast(pa.binary()), np.arange(place, place + len(row))]
                 place += len(row)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-                     pa.array(tokens, pa.int64()), pa.array(ids, pa.binary()), pa.array(places)],
-                    [f.name for f in schema],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at + row)), *map(pa.array, columns)], [f.name for f in schema])
 
     return source.mapInArrow(work, schema)
 

@@ -56,14 +56,59 @@ def test_any_text(own, by_tiktoken, by_tokenizers, texts):
     check(texts, own, by_tiktoken, by_tokenizers)
 
 
-def test_long_words_in_single_and_batched_merges_agree(own):
+def merged(bpe_, words):
+    flat = np.frombuffer(b"".join(words), np.uint8)
+    return [ids(x) for x in bpe_.merge(flat, np.cumsum([0, *map(len, words)]))]
+
+
+def plain_merge(bpe_, word):
+    """The leftmost pair of least rank merges, one after the other."""
+    out = bpe_.bytes[list(word)].tolist()
+    while True:
+        pairs = [(bpe_.pairs[a << 32 | b], i) for i, (a, b) in enumerate(zip(out, out[1:])) if a << 32 | b in bpe_.pairs]
+        if not pairs:
+            return out
+        rank, i = min(pairs)
+        out[i : i + 2] = [rank if bpe_.id_of_rank is None else int(bpe_.id_of_rank[rank])]
+
+
+def test_long_words_in_single_and_batched_merges_agree(own, monkeypatch):
     pick = random.Random(5)
+    words = [bytes(pick.choice(b"aabbtheing") for _ in range(pick.randrange(0, 200))) for _ in range(60)]
     for ranked in own:
-        for _ in range(30):
-            word = bytes(pick.choice(b"aabbtheing") for _ in range(pick.randrange(2, 200)))
-            got = {}
-            ranked.merge_matrix([word], 256, got)
-            assert got[word] == ranked.merge_long(word)
+        want = merged(ranked, words)
+        monkeypatch.setattr(bpe, "WIDEST", 4)  # then most are merged in a heap
+        assert merged(ranked, words) == want
+        monkeypatch.undo()
+        assert [ids(ranked.merge_long(w)) for w in words[1:] if len(w) > 1] == [plain_merge(ranked, w) for w in words[1:] if len(w) > 1]
+
+
+@pytest.mark.parametrize("widest", [256, 2])
+def test_random_rank_tables(monkeypatch, widest):
+    """Merges that make pairs of lower rank than their own, which a trained vocabulary hardly has."""
+    monkeypatch.setattr(bpe, "WIDEST", widest)
+    for seed in range(40):
+        pick = random.Random(seed)
+        tokens = {bytes(pick.choice(b"abc") for _ in range(pick.randrange(2, 7))) for _ in range(60)}
+        tokens = [bytes([b]) for b in range(256)] + pick.sample(sorted(tokens), len(tokens))
+        order = pick.sample(range(len(tokens)), len(tokens))
+        table = bpe.Bpe.of_ranks(dict(zip(tokens, order)), public_tokenizers.PATTERN)
+        table.ranks = {}  # words are merged even where they are tokens
+        words = [bytes(pick.choice(b"abc") for _ in range(pick.randrange(1, 60))) for _ in range(60)]
+        assert merged(table, words) == [plain_merge(table, w) for w in words]
+
+
+def test_memory_has_two_generations():
+    made = []
+    memory = bpe.Remembered(3)
+
+    def make(keys):
+        made.extend(keys)
+        return [k.upper() for k in keys]
+
+    assert memory.get(["a", "b"], make) == ["A", "B"] and memory.get(["c", "a", "d"], make) == ["C", "A", "D"]
+    assert memory.get(["a"], make) == ["A"] and memory.get(["x", "y", "z"], make) == ["X", "Y", "Z"]  # a moved on, b to d go
+    assert memory.get(["a", "b"], make) == ["A", "B"] and made == ["a", "b", "c", "d", "x", "y", "z", "b"]
 
 
 def test_encode_and_decode_tables(spark, by_tiktoken):
