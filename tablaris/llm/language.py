@@ -31,6 +31,7 @@ from tablaris.llm.lookup import HashIndex
 LONGEST = 5  # bytes of a context and its symbol
 PAD = b"\n" * (LONGEST - 1)  # what precedes a text
 STEP = 1 << 19  # bytes scored at a time
+SALTS = 32  # groups that the sample of a language is drawn in first
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
@@ -100,21 +101,23 @@ class ContextTrees:
 COUNT = "lang string, length int, gram long, count long"
 
 
-def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", order: Column | None = None, docs: int = 300, contexts: int = 60_000) -> ContextTrees:
+def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", order: Column | None = None, docs: int = 300) -> ContextTrees:
     """Context trees of every language in ``lang_col``.
 
     Learns from at most ``docs`` rows a language, the first in ``order`` (a hash of
-    the text by default; of rows at one place the least text), whole texts, and keeps the ``contexts`` most frequent
-    grams of each length and language; these two parameters bound the model. Rows
-    with a null text or language are not used; without any other row no language
-    is learned.
+    the text by default; of rows at one place the least text), whole texts, all their
+    grams; the number of these rows bounds the model. Rows with a null text or
+    language are not used; without any other row no language is learned.
     """
     rows = df.select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), (F.xxhash64(text_col) if order is None else order).alias("place")
     ).where("text IS NOT NULL AND lang IS NOT NULL")
-    # Places are ranked without the texts, and at most ``docs`` of them a language are broadcast.
-    ranked = rows.select("lang", "place").distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place")))
-    first = F.broadcast(ranked.where(F.col("n") <= docs).drop("n"))
+    # Places are ranked without the texts, in salted groups first, so that a task gets as many
+    # as there are salts times ``docs`` at most; ``docs`` of them a language are broadcast.
+    ranked = rows.select("lang", "place").distinct().withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(SALTS)))
+    for keys in (["lang", "salt"], ["lang"]):
+        ranked = ranked.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy("place"))).where(F.col("n") <= docs).drop("n")
+    first = F.broadcast(ranked.drop("salt"))
     sample = rows.join(first, ["lang", "place"]).groupBy("lang", "place").agg(F.min("text").alias("text")).select("lang", "text")
     names = [f.split(" ")[0] for f in COUNT.split(", ")]
 
@@ -134,9 +137,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", order: Co
                         yield pa.RecordBatch.from_arrays(columns, names)
 
     counted = sample.mapInArrow(count, COUNT).groupBy("lang", "length", "gram").agg(F.sum("count").alias("count"))
-    often = Window.partitionBy("lang", "length").orderBy(F.desc("count"), "gram")
-    kept = counted.withColumn("n", F.row_number().over(often)).where(F.col("n") <= contexts).drop("n")
-    rows = kept.toArrow()
+    rows = counted.toArrow()
     languages = sorted(set(rows.column("lang").to_pylist()))
     lang = np.searchsorted(np.array(languages), np.array(rows.column("lang").to_pylist(), dtype=str)) if languages else np.zeros(0, int)
     length, gram, n = (rows.column(c).to_numpy() for c in ("length", "gram", "count"))
@@ -186,7 +187,8 @@ def identify(df: DataFrame, trees: ContextTrees, text_col: str = "text") -> Data
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
+    """One id in four; a null id is held out."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
 def fit_documents(docs: DataFrame) -> ContextTrees:

@@ -60,6 +60,42 @@ def test_code_lengths_by_definition(spark):
         assert costs == pytest.approx([want["de"], want["en"]], rel=1e-5)
 
 
+def test_all_grams_of_the_sample_count(spark):
+    """More than 60,000 distinct grams of a length, none of them left out."""
+    pick = random.Random(8)
+    texts = ["".join(chr(pick.randrange(0x4E00, 0x9000)) for _ in range(2500)) for _ in range(24)]
+    docs = spark.createDataFrame([(i, t, "zh" if i % 2 else "yi") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    trees = language.fit(docs)
+    for length in (4, 5):
+        keys, counts = trees.counts[length]
+        seen = {}
+        for i, t in enumerate(texts):
+            data = b"\n" * 4 + t.encode()
+            for end in range(5, len(data) + 1):
+                seen.setdefault(data[end - length : end], [0, 0])[i % 2] += 1
+        assert len(seen) > 60_000 and {k.to_bytes(length, "big"): c for k, c in zip(keys.tolist(), counts.tolist())} == seen
+    train = {lang: [t for i, t in enumerate(texts) if (i % 2 == 1) == (lang == "zh")] for lang in ("yi", "zh")}
+    want = plain_costs(train, texts[0][:300])
+    assert trees.score([texts[0][:300].encode()])[0] == pytest.approx([want["yi"], want["zh"]], rel=1e-5)
+
+
+def test_the_sample_is_the_first_rows_of_each_language(spark, monkeypatch):
+    rows = [(i, f"text{i % 70} " + "ab" * (i % 5), "en" if i % 9 else "de") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(9)
+    total = {}
+    for lang in ("de", "en"):
+        first = sorted(i for i, _, own in rows if own == lang)[:40]
+        total[lang] = sum(len(rows[i][1].encode()) for i in first)
+    trees = language.fit(docs, order=F.col("doc_id"), docs=40)
+    assert trees.counts[5][1].sum(axis=0).tolist() == [total["de"], total["en"]]
+
+
+def test_a_row_without_an_id_is_held_out(spark, tmp_path):
+    docs = labelled(spark, 40).union(spark.createDataFrame([(None, "the of and", "en")], "doc_id long, text string, lang string"))
+    rows = language.op3_language_id(spark, table_folder(spark, tmp_path, documents=docs)).collect()
+    assert [r.held_out for r in rows if r.doc_id is None] == [True]
+
+
 def test_blocks_do_not_change_scores(spark, monkeypatch):
     trees = language.fit(labelled(spark, 30))
     texts = [sentence(i, 5 + i).encode() for i in range(20)]
