@@ -1,3 +1,4 @@
+import random
 import re
 
 import duckdb
@@ -116,6 +117,58 @@ def test_weak_parts_need_their_complements(spark):
     assert kinds == sorted([(k, v) for k, v in want.items()] + [("9", ["endpoint"])])
 
 
+def brute_linked(text, reach=200):
+    """Every part against every other one."""
+    weak = []
+    for rank, pattern in ((3, secrets.ACCOUNT), (4, secrets.KEY40), (5, secrets.ENDPOINT)):
+        weak += [(m.start(), rank, m.end()) for m in re.finditer(pattern, text)]
+    base = brute_spans(text)
+    weak = [p for p in weak if p[1] == 5 or not any(b[0] < p[2] and p[0] < b[2] for b in base)]
+    out = []
+    for p in weak:
+        near = {q[1] for q in weak + base if q != p and q[0] - p[2] <= reach and p[0] - q[2] <= reach}
+        identifier, secret = bool(near & {1, 3}), bool(near & {0, 2, 4})
+        if {3: secret, 4: identifier, 5: identifier and secret}[p[1]]:
+            out.append(p)
+    return sorted(out)
+
+
+def test_linked_spans_against_every_pair(spark):
+    rows = []
+    for seed in range(60):
+        pick = random.Random(seed)
+        parts = ["client_id: svc-7", "Zz9/" * 10, "https://db.example/x", "AKIA" + "Q" * 16, "token=abcdefgh", "deadbeef" * 4, "user_name=" + "ab" * 20, "token=https://a.example/" + "b" * 450]
+        text = "".join(pick.choice(parts) + " é" + "x " * pick.choice([0, 3, 60, 97, 100, 140]) for _ in range(pick.randrange(1, 14)))
+        rows.append((seed, text))
+    docs = documents(spark, rows, "bin", "p", "q", "weak")
+    out = secrets.find_secrets(docs)
+    no_python(out)
+    got = {r.doc_id: r for r in out.collect()}
+    texts = {r.doc_id: r.text for r in secrets.redact_secrets(docs).collect()}
+    assert sum(len(r.linked) for r in got.values()) > 60
+    for i, text in rows:
+        assert [tuple(s) for s in got[i].linked] == brute_linked(text)
+        assert [tuple(s) for s in got[i].base] == brute_spans(text)
+        clean, at = "", 0
+        for a, _, b in sorted(brute_spans(text) + brute_linked(text)):
+            if a >= at:
+                clean += text[at:a] + "[SECRET]"
+            at = max(at, b)
+        assert texts[i] == clean + text[at:]
+
+
+def test_a_text_of_many_secrets(spark):
+    """Linear in the matches: growing arrays or counting up to each place would take hours."""
+    count = 40_000
+    text = " ".join(f"é{i:05d}{'deadbeef' * 3} client_id: svc-{i}" for i in range(count))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = secrets.find_secrets(docs).selectExpr("size(base) AS base", "size(linked) AS linked", "base[39999] AS last").first()
+    assert (row.base, row.linked) == (count, count)
+    assert text[row["last"].start : row["last"].end] == f"{count - 1:05d}" + "deadbeef" * 3
+    clean = secrets.redact_secrets(docs).first().text
+    assert clean == " ".join(["é[SECRET] [SECRET]"] * count)
+
+
 def test_op10(spark, tmp_path):
     rows = [(i, t) for i, t in enumerate(SECRET_TEXTS)]
     for r in secrets.op10_secret_scan(spark, table_folder(spark, tmp_path, documents=documents(spark, rows))).collect():
