@@ -64,6 +64,10 @@ def _slices(
     return stage(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
 
 
+def _listed(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
 def _spanning(summary: DataFrame, group_by: Sequence[str]) -> DataFrame:
     """Summary rows of groups that reach over more than one slice.
 
@@ -110,17 +114,15 @@ def neighbours(
     sliced = sizes.largest > window_rows
     if sliced:
         df = _slices(df, group_by, order_by, sizes.rows, window_rows)
-    part = Window.partitionBy(*group_by, *([_SLICE] if sliced else []))
-    upto = part.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # A frame reaching to the end of the partition is evaluated anew for every
-    # row, in quadratic time. The same rows in descending order take one pass.
-    onward = part.orderBy(*[F.desc(c) for c in order_by]).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    keys = [*group_by, *([_SLICE] if sliced else [])]
+    upto = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A frame reaching to the end of the partition is evaluated anew for every row, in
+    # quadratic time; the next known value is found in the same pass, in the same order.
+    spec = " ".join([*(["PARTITION BY " + _listed(keys)] if keys else []), "ORDER BY " + _listed(order_by)])
     seen = df.select(
         "*",
         *[F.last(c, ignorenulls=True).over(upto).alias(f"_prev_{c}") for c in columns],
-        *[F.last(c, ignorenulls=True).over(onward).alias(f"_next_{c}") for c in columns],
+        *[F.coalesce(c, F.expr(f"lead(`{c}`, 1) IGNORE NULLS OVER ({spec})")).alias(f"_next_{c}") for c in columns],
     )
     if not sliced:
         return seen

@@ -5,7 +5,9 @@ so that no task takes in more than a few hundred of them, proposes two pivots
 around each wanted rank; one aggregate counts the rows below, between and on
 the pivots; the search goes on in the part that holds the rank. Once a part is
 small, its values are sorted in one place. The pivots only steer: the counts
-decide, so the answer does not depend on the sketch's accuracy.
+decide, so the answer does not depend on the sketch's accuracy. Where the parts
+of all columns together are more than one task should hold, their values become
+rows (part, value) that are ranked in partitions of their own.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from fractions import Fraction
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +31,10 @@ RANK_ROWS = 100_000
 # the part, and the whole part at worst. Measured: with more than a few such
 # lists the aggregate takes longer than two passes do.
 ONE_PASS = 16
+# Values that one task may sort as arrays, over all parts; beyond, parts are ranked as rows.
+TASK_VALUES = 400_000
+# Columns whose searches share passes; more are done so many at a time, each reading its own.
+COLUMNS = 40
 ONE_PASS_LISTS = 4
 SKETCH_SIZE = 4096
 SKETCH_FAN_IN = 256
@@ -212,9 +219,32 @@ def _advance(search: _Search, low: Any, high: Any, counts: tuple) -> None:
         search.low, search.below = high, upto_high
 
 
+def _rank_rows(df: DataFrame, searches: Sequence[_Search]) -> None:
+    """Rank the values of each part in partitions of its own, equal ones as one row."""
+    parts = {s.part: (i, s) for i, s in enumerate(searches)}
+    by_type: dict[str, list[tuple[int, _Search]]] = {}
+    for i, s in parts.values():
+        by_type.setdefault(df.schema[s.column].dataType.simpleString(), []).append((i, s))
+    for own in by_type.values():
+        values = F.array(*[F.when(s.inside(), F.struct(F.lit(i).alias("part"), F.col(s.column).alias("value"))) for i, s in own])
+        rows = df.where(_any([s.inside() for _, s in own])).select(F.explode(F.filter(values, lambda v: v.isNotNull())).alias("v"))
+        counted = rows.groupBy(F.col("v.part").alias("part"), F.col("v.value").alias("value")).agg(F.count(F.lit(1)).alias("equal"))
+        order = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = counted.withColumn("upto", F.sum("equal").over(order))
+        inside = {i for i, _ in own}
+        asked = [(k, parts[s.part][0], s.rank - s.below) for k, s in enumerate(searches) if parts[s.part][0] in inside]
+        wanted = df.sparkSession.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(zip(*asked), (pa.int32(), pa.int32(), pa.int64()))], ["search", "part", "rank"]))
+        hit = placed.join(wanted, "part").where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("equal")))
+        for row in hit.select("search", "value", "upto", "equal").collect():
+            s = searches[row["search"]]
+            s.found = OrderStatistic(row["value"], s.below + row["upto"] - row["equal"], row["equal"])
+
+
 def _rank_directly(df: DataFrame, searches: Sequence[_Search]) -> None:
     """Sort the values of each part, known to be few, and read off the ranks."""
     parts = {s.part: s for s in searches}
+    if sum(s.rows for s in parts.values()) > TASK_VALUES:
+        return _rank_rows(df, searches)
     name = {part: f"v{i}" for i, part in enumerate(parts)}
     values = [
         F.sort_array(F.collect_list(F.when(s.inside(), F.col(s.column)))).alias(name[part])
@@ -243,6 +273,10 @@ def order_statistics(
     that count and one statistic per rank. NaN sorts above everything. Runs a
     few aggregate jobs that share passes across all columns and ranks.
     """
+    if len(ranks) > COLUMNS:
+        names = list(ranks)
+        chunks = [names[i : i + COLUMNS] for i in range(0, len(names), COLUMNS)]
+        return {c: v for own in chunks for c, v in order_statistics(df, {c: ranks[c] for c in own}, rank_rows).items()}
     # The first survey runs before any row count is known: ranks are taken as
     # shares of a notional table, which is all the sketch is asked for.
     trial = {

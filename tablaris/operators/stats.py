@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from tablaris.operators.moments import pair_moments
 from tablaris.operators.quantiles import interpolated_quantiles
+from tablaris.operators.tiles import correlation_table
+
+# Columns up to which a correlation matrix is a single matrix.
+WIDE = 512
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -64,8 +68,11 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations, both triangles, one row per pair.
 
     One pass over the rows; each pair counts those where both are known. A pair
-    without spread, or without rows, has NULL.
+    without spread, or without rows, has NULL. Tables of more than WIDE columns are
+    done in tiles, which never are in one place.
     """
+    if len(columns) > WIDE:
+        return correlation_table(df, columns)
     found = pair_moments(df, columns).get(None)
     r = np.full((len(columns),) * 2, np.nan) if found is None else found.correlations()
     rows = [

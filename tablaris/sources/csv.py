@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tablaris.functions.names import normalize_name
 from tablaris.operators.dedup import ingest_order
+from tablaris.operators.infer import infer_types, with_types
 from tablaris.sources.staging import stage, staging_path
 
 # Bytes up to which a file is read whole to find its first line.
@@ -161,9 +162,17 @@ def scan_csv(
 
 
 def scan_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """Headed CSV with types guessed from the data: costs an extra pass, so an
-    explicit ``scan_csv`` schema is better wherever one is known."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    """Headed CSV with types found in the data, under the header's names.
+
+    One aggregate over the raw text, so an explicit ``scan_csv`` schema is better
+    wherever one is known. Of names that differ in case at most all but the
+    first get their position.
+    """
+    rows, header = scan_csv(spark, path)
+    lower = [n.lower() for n in header]
+    names = [n if lower.index(n.lower()) == i else f"{n}_{i}" for i, n in enumerate(header)]
+    rows = rows.toDF(*names)
+    return with_types(rows, infer_types(rows)) if names else rows
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from tablaris.operators.moments import PairMoments, pair_moments
 from tablaris.operators.ordering import neighbours, row_positions
 from tablaris.operators.regression import fit
 from tablaris.operators.stats import correlation_matrix, describe
+from tablaris.operators.tiles import TileMoments, correlation_table
 
 
 def known_pairs(x):
@@ -81,3 +84,47 @@ def test_describe_decimals(spark):
     df = spark.createDataFrame([("1.25",), ("2.50",), (None,), ("4.00",)], "t string").select(F.col("t").cast("decimal(38,2)").alias("d"))
     row = describe(df, ["d"]).first()
     assert (row["count"], row["min"], row["q50"], row["max"]) == (3, 1.25, 2.5, 4.0) and row["q25"] == pytest.approx(1.875)
+
+
+def test_tiles_of_parts_merge_to_those_of_the_whole():
+    pick = np.random.default_rng(2)
+    x, y = pick.normal(1e6, 2, (200, 3)), pick.normal(-5, 9, (200, 4))
+    for m in (x, y):
+        m[pick.random(m.shape) < 0.3] = np.nan
+    x[:50, 0] = np.nan
+    parts = [TileMoments.of(x[a : a + 50], ~np.isnan(x[a : a + 50]), y[a : a + 50], ~np.isnan(y[a : a + 50])) for a in range(0, 200, 50)]
+    total = parts[0]
+    for p in parts[1:]:
+        total = total.merge(p)
+    for i in range(3):
+        for j in range(4):
+            at = ~np.isnan(x[:, i]) & ~np.isnan(y[:, j])
+            assert total.n[i, j] == at.sum()
+            assert total.correlations()[i, j] == pytest.approx(np.corrcoef(x[at, i], y[at, j])[0, 1], rel=1e-6)
+
+
+def test_tiles_equal_the_whole_matrix(spark):
+    df = spark.range(400).select(
+        *[F.when((F.col("id") + i) % 4 != 0, F.rand(i) + F.col("id") % (i + 2)).alias(f"c.{i}") for i in range(11)],
+        F.lit(3.0).alias("flat"), F.lit(None).cast("double").alias("none"),
+    ).repartition(5)
+    want = {(r.variable_a, r.variable_b): r.r for r in correlation_matrix(df.toDF(*[c.replace(".", "_") for c in df.columns]), [c.replace(".", "_") for c in df.columns]).collect()}
+    for block, tasks, stripe in ((4, 2, 3), (13, 1, 1), (100, 8, 32), (1, 3, 1)):
+        got = {(r.variable_a.replace(".", "_"), r.variable_b.replace(".", "_")): r.r for r in correlation_table(df, df.columns, block, tasks, stripe).collect()}
+        assert got == {k: None if v is None else pytest.approx(v, abs=1e-9) for k, v in want.items()}
+    assert {r.r for r in correlation_table(df.limit(0), df.columns, 4).collect()} == {None}
+
+
+def test_three_thousand_columns(spark, tmp_path):
+    """The matrix is a table; only what is asked of it comes to the driver."""
+    width = 3000
+    x = np.random.default_rng(4).integers(0, 1000, (200, width)).astype(float)
+    x[:, 7] = x[:, 5] * 2 + 1
+    pq.write_table(pa.table({f"c{i}": x[:, i] for i in range(width)}), str(tmp_path / "wide.parquet"))
+    df = spark.read.parquet(str(tmp_path / "wide.parquet"))
+    rows = correlation_matrix(df, df.columns).where("variable_a IN ('c5', 'c2999')").collect()
+    assert len(rows) == 2 * width
+    r = np.corrcoef(x.T)
+    for row in rows:
+        assert row.r == pytest.approx(r[int(row.variable_a[1:]), int(row.variable_b[1:])], abs=1e-9)
+    assert {row.r for row in rows if {row.variable_a, row.variable_b} == {"c5", "c7"}} == {pytest.approx(1.0)}

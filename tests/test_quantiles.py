@@ -7,6 +7,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from tablaris.operators import quantiles as selection
 from tablaris.operators.outliers import iqr_fences, winsorize
 from tablaris.operators.quantiles import interpolated_quantiles, order_statistics, quantiles
 from tablaris.operators.stats import correlation_matrix, describe, fitted_trends, null_counts
@@ -135,3 +138,35 @@ def test_value_on_the_limit_is_no_outlier(spark):
     probe = spark.createDataFrame([(-2.0,), (6.0,), (-2.1,), (6.1,), (None,)], "x double")
     rows = winsorize(probe, {"x": fence}).collect()
     assert [tuple(r) for r in rows] == [(-2.0, 0), (6.0, 0), (-2.0, 1), (6.0, 1), (None, 0)]
+
+
+def many_columns(spark, width, rows):
+    kinds = [F.rand(1) * 10, F.lit(3.5), (F.col("id") % 7).cast("int"), F.when(F.col("id") % 3 != 0, F.col("id")), (F.col("id") % 11 / 4).cast("decimal(20,2)")]
+    kinds += [F.when(F.col("id") % 4 == 0, F.lit(float("nan"))).otherwise(-F.col("id") / 8.0), F.lit(None).cast("double")]
+    return spark.range(rows).select(*[kinds[i % len(kinds)].alias(f"c{i}") for i in range(width)])
+
+
+@pytest.mark.parametrize("rank_rows", [50, 5_000])
+def test_parts_ranked_as_rows_agree_with_arrays(spark, monkeypatch, rank_rows):
+    df = many_columns(spark, 14, 2_000).repartition(3)
+    of = {c: lambda n: [1, max(1, n // 3), max(1, n // 2), n] if n else [] for c in df.columns}
+    arrays = selection.order_statistics(df, of, rank_rows)
+    monkeypatch.setattr(selection, "TASK_VALUES", 0)
+    monkeypatch.setattr(selection, "COLUMNS", 5)
+    rows = selection.order_statistics(df, of, rank_rows)
+    assert str(rows) == str(arrays) and list(rows) == df.columns  # as text, for NaN
+    pandas = df.toPandas()
+    for c, (n, found) in rows.items():
+        values = sorted((float(v) for v in pandas[c].dropna() if v is not None)) if n and "nan" not in str(found) else []
+        for rank, s in zip(of[c](n), found):
+            if values:
+                assert (float(s.value), s.below, s.equal) == (values[rank - 1], values.index(values[rank - 1]), values.count(values[rank - 1]))
+
+
+def test_many_parts_never_meet_in_one_task(spark, monkeypatch):
+    """Columns of fewer rows than a part may have are still ranked in their own partitions."""
+    monkeypatch.setattr(selection, "TASK_VALUES", 10_000)
+    df = many_columns(spark, 60, 3_000)
+    found = selection.quantiles(df, df.columns, [0.25, 0.75])
+    assert found["c2"] == [1, 5] and found["c1"] == [3.5, 3.5] and found["c6"] == [None, None]
+    assert found["c3"] == [749, 2249] and len(found) == 60

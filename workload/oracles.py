@@ -234,10 +234,52 @@ LABELS = """labels_(exercise, l1, l2, l3, title, target) AS (VALUES
 
 QUANTILE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_suppkey"]
 
+def _but(share: int, odd: str | None, usual: str) -> str:
+    return f"CASE WHEN o_orderkey % {share} = {share - 1} THEN {'NULL' if odd is None else repr(odd)} ELSE {usual} END"
+
+
+_TEXTS = {
+    "whole": _but(7, None, "' ' || o_orderkey"),
+    "signed": _but(11, "+5", "'-' || o_orderkey"),
+    "long": _but(13, "", "o_orderkey || '0000000000'"),
+    "huge": _but(17, "-7", "'9' || o_orderkey || '00000000000000000000'"),
+    "too_huge": _but(19, "1", "rpad(o_orderkey::VARCHAR, 45, '3')"),
+    "price": _but(23, "1e-3", "printf('%d.%02d', c // 100, c % 100)"),
+    "not_finite": _but(29, "NaN", "o_orderkey::VARCHAR"),
+    "comma": "printf('%d,%02d', c // 100, c % 100)",
+    "stray": _but(1000, "n/a", "o_orderkey::VARCHAR"),
+    "day": _but(5, None, "strftime(o_orderdate, '%Y-%m-%d')"),
+    "moment": _but(3, "2020-02-29T12:30:01.5", "strftime(o_orderdate, '%Y-%m-%d')"),
+    "no_day": _but(900, "2021-02-29", "strftime(o_orderdate, '%Y-%m-%d')"),
+    "yes": _but(2, " TRUE", "'false'"),
+    "blank": _but(2, None, "'  '"),
+    "mixed": _but(2, "true", "o_orderkey::VARCHAR"),
+}
+# The narrowest type that every value fits, asked for type by type.
+INFERRED = (
+    "WITH o AS (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders), texts AS ("
+    + " UNION ALL ".join(f"SELECT {i} AS position, '{n}' AS name, nullif(trim({t}), '') AS t FROM o" for i, (n, t) in enumerate(_TEXTS.items()))
+    + """),
+    marked AS (SELECT *, regexp_full_match(t, '[+-]?\\d+') AS whole, length(ltrim(ltrim(t, '+-'), '0')) AS digits FROM texts)
+    SELECT position, name AS "column", CASE
+        WHEN count(t) = 0 THEN 'string'
+        WHEN bool_and(whole) FILTER (WHERE t IS NOT NULL) AND bool_and(try_cast(t AS HUGEINT) IS NOT NULL AND try_cast(t AS HUGEINT) BETWEEN -2147483648 AND 2147483647) FILTER (WHERE t IS NOT NULL) THEN 'int'
+        WHEN bool_and(whole) FILTER (WHERE t IS NOT NULL) AND bool_and(try_cast(t AS BIGINT) IS NOT NULL) FILTER (WHERE t IS NOT NULL) THEN 'bigint'
+        WHEN bool_and(whole) FILTER (WHERE t IS NOT NULL) AND max(digits) <= 38 THEN 'decimal(' || max(digits) || ',0)'
+        WHEN bool_and(regexp_full_match(t, '(?i)[+-]?((\\d+\\.?\\d*|\\.\\d+)(e[+-]?\\d+)?|inf|infinity|nan)')) FILTER (WHERE t IS NOT NULL) THEN 'double'
+        WHEN bool_and(regexp_full_match(t, '\\d{4}-\\d{2}-\\d{2}') AND try_cast(t AS DATE) IS NOT NULL) FILTER (WHERE t IS NOT NULL) THEN 'date'
+        WHEN bool_and(regexp_full_match(t, '\\d{4}-\\d{2}-\\d{2}([ T]\\d{2}:\\d{2}(:\\d{2}(\\.\\d+)?)?)?') AND try_cast(t AS TIMESTAMP) IS NOT NULL) FILTER (WHERE t IS NOT NULL) THEN 'timestamp'
+        WHEN bool_and(lower(t) IN ('true', 'false')) FILTER (WHERE t IS NOT NULL) THEN 'boolean' ELSE 'string' END AS type,
+      count(t) AS filled, count(*) - count(t) AS empty
+    FROM marked GROUP BY position, name"""
+)
+
+
 ORACLES: dict[str, str] = {
     "scan_csv_roundtrip": "SELECT * FROM part",
     "csv_headers_many": """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderpriority
       FROM orders""",
+    "infer_types": INFERRED,
     "sink_parquet_roundtrip": "SELECT * FROM part",
     "head_rows": """SELECT c_custkey, c_name, c_acctbal FROM customer
       ORDER BY c_acctbal DESC, c_custkey LIMIT 5""",
@@ -478,6 +520,11 @@ ORACLES: dict[str, str] = {
     "correlation_wide": """WITH e AS (SELECT vec_id, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings)
       SELECT 'e' || a.i AS variable_a, 'e' || b.i AS variable_b, round(corr(a.x, b.x), 6) AS r
       FROM e a JOIN e b USING (vec_id) GROUP BY a.i, b.i""",
+    "correlation_tiles": """WITH e AS (SELECT vec_id, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+      c AS (SELECT vec_id, 'e' || i AS name, x FROM e UNION ALL
+        SELECT vec_id, 'g' || i, x * 2 + 1 FROM e WHERE i < 36 AND (vec_id + i) % 5 <> 0)
+      SELECT a.name AS variable_a, b.name AS variable_b, round(corr(a.x, b.x), 6) AS r
+      FROM c a JOIN c b USING (vec_id) GROUP BY a.name, b.name""",
     "describe_decimal": """SELECT 'price' AS "column", count(*) AS count, round(avg(o_totalprice), 4) AS mean,
       round(stddev_samp(o_totalprice), 4) AS std, min(o_totalprice) AS min, round(quantile_cont(o_totalprice, 0.25), 4) AS q25,
       round(quantile_cont(o_totalprice, 0.5), 4) AS q50, round(quantile_cont(o_totalprice, 0.75), 4) AS q75,

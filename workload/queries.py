@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tablaris.functions.parse import parse_double, parse_int, parse_number, trimmed
 from tablaris.operators import conform as schema
-from tablaris.operators import dedup, gapfill, ordering, outliers, quantiles, regression, stats
+from tablaris.operators import dedup, gapfill, infer, ordering, outliers, quantiles, regression, stats, tiles
 from tablaris.operators.impute import impute
 from tablaris.operators.regression import LinearModel
 from tablaris.operators.scoring import score_named, score_requests
@@ -82,6 +82,35 @@ def scan_csv_roundtrip(spark: SparkSession, data: str) -> DataFrame:
     return rows
 
 
+def infer_types(spark: SparkSession, data: str) -> DataFrame:
+    """Text columns of every kind, with blanks, strays and mixtures among them."""
+    key = F.col("o_orderkey")
+    number, day = key.cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd")
+
+    def but(share: int, odd: str | None, usual: Column) -> Column:
+        return F.when(key % share == share - 1, F.lit(odd)).otherwise(usual)
+
+    texts = {
+        "whole": but(7, None, F.concat(F.lit(" "), number)),
+        "signed": but(11, "+5", F.concat(F.lit("-"), number)),
+        "long": but(13, "", F.concat(number, F.lit("0000000000"))),
+        "huge": but(17, "-7", F.concat(F.lit("9"), number, F.lit("00000000000000000000"))),
+        "too_huge": but(19, "1", F.rpad(number, 45, "3")),
+        "price": but(23, "1e-3", money_text(cents("o_totalprice"), ".")),
+        "not_finite": but(29, "NaN", number),
+        "comma": money_text(cents("o_totalprice")),
+        "stray": but(1000, "n/a", number),
+        "day": but(5, "\t", day),
+        "moment": but(3, "2020-02-29T12:30:01.5", day),
+        "no_day": but(900, "2021-02-29", day),
+        "yes": but(2, " TRUE", F.lit("false")),
+        "blank": but(2, None, F.lit("  ")),
+        "mixed": but(2, "true", number),
+    }
+    raw = table(spark, data, "orders").select(*[t.alias(n) for n, t in texts.items()])
+    return infer.infer_types(raw)
+
+
 MANY_FILES = 2000
 
 
@@ -654,6 +683,15 @@ def correlation_wide(spark: SparkSession, data: str) -> DataFrame:
     return rounded(matrix, "r", digits=6)
 
 
+def correlation_tiles(spark: SparkSession, data: str) -> DataFrame:
+    """Components of the embeddings, half of them with gaps, in tiles of a matrix of 100 columns."""
+    vectors = table(spark, data, "embeddings")
+    parts = [F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)]
+    gaps = [F.when((F.col("vec_id") + i) % 5 != 0, F.get("embedding", F.lit(i)).cast("double") * 2 + 1).alias(f"g{i}") for i in range(36)]
+    wide = vectors.select(*parts, *gaps)
+    return rounded(tiles.correlation_table(wide, wide.columns, block=24, tasks=4, stripe=7), "r", digits=6)
+
+
 def describe_decimal(spark: SparkSession, data: str) -> DataFrame:
     price = (cents("o_totalprice") / 100).cast("decimal(38,2)").alias("price")
     summary = stats.describe(table(spark, data, "orders").select(price), ["price"])
@@ -844,6 +882,7 @@ def score_requests_many(spark: SparkSession, data: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "scan_csv_roundtrip": scan_csv_roundtrip,
     "csv_headers_many": csv_headers_many,
+    "infer_types": infer_types,
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
     "head_rows": head_rows,
     "normalize_columns": normalize_columns,
@@ -898,6 +937,7 @@ QUERIES: dict[str, Query] = {
     "train_report": train_report,
     "train_explained": train_explained,
     "correlation_wide": correlation_wide,
+    "correlation_tiles": correlation_tiles,
     "describe_decimal": describe_decimal,
     "model_table_roundtrip": model_table_roundtrip,
     "model_versions": model_versions,
