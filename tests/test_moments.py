@@ -127,4 +127,4 @@ def test_three_thousand_columns(spark, tmp_path):
     r = np.corrcoef(x.T)
     for row in rows:
         assert row.r == pytest.approx(r[int(row.variable_a[1:]), int(row.variable_b[1:])], abs=1e-9)
-    assert {row.r for row in rows if {row.variable_a, row.variable_b} == {"c5", "c7"}} == {pytest.approx(1.0)}
+    assert [row.r for row in rows if (row.variable_a, row.variable_b) == ("c5", "c7")] == [pytest.approx(1.0)]
