@@ -68,6 +68,11 @@ class ContextTrees:
             self.symbols[length] = HashIndex(keys), np.where(counts > 0, seen, unseen).astype(np.float32)
             self.escapes[length] = HashIndex(contexts), np.vstack([escape, np.zeros(len(self.languages))]).astype(np.float32)
 
+    def only_costs(self) -> ContextTrees:
+        """The same without the counts, which scoring does not need."""
+        self.counts = {}
+        return self
+
     def cost(self, keys: np.ndarray, length: int = LONGEST) -> np.ndarray:
         """Natural code length of the last byte of each gram, by language."""
         if length == 0:
@@ -144,7 +149,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", order: Co
     counts = {}
     for m in range(1, LONGEST + 1):
         keys, at = np.unique(gram[length == m].astype(np.uint64), return_inverse=True)
-        counts[m] = keys, np.zeros((len(keys), len(languages)))
+        counts[m] = keys, np.zeros((len(keys), len(languages)), dtype=np.int32)
         counts[m][1][at, lang[length == m]] = n[length == m]
     return ContextTrees(languages, counts)
 
@@ -164,7 +169,7 @@ def identify(df: DataFrame, trees: ContextTrees, text_col: str = "text") -> Data
     shared = df.sparkSession.sparkContext.broadcast((trees.languages, trees.counts))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = once(shared, lambda v: ContextTrees(*v))
+        model = once(shared, lambda v: ContextTrees(*v).only_costs())
         for batch in batches:
             for at, texts in blocks(batch.column(text_col)):
                 some = [i for i, t in enumerate(texts) if model.languages and LETTER.search(t)]

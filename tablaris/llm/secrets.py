@@ -52,7 +52,8 @@ def running(items: Column, kind: str, first: Column, step: Callable[[Column, Col
 def gaps_and_lengths(text: Column, matches: Column, pattern: str) -> Column:
     """(g, m) of a pattern's matches: code points before each, and in it. What lies between matches is the split by them."""
     gaps = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
-    return F.zip_with(gaps, matches, lambda g, m: F.struct(F.char_length(g).alias("g"), F.char_length(m).alias("m")))
+    pairs = F.zip_with(gaps, matches, lambda g, m: F.struct(F.char_length(g).alias("g"), F.char_length(m).alias("m")))
+    return F.when(F.size(matches) > 0, pairs)  # most texts have none, and are not split
 
 
 def located(pairs: Column, rank: int) -> Column:
@@ -63,7 +64,7 @@ def located(pairs: Column, rank: int) -> Column:
         span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), (begin + x["m"]).alias("end"))
         return F.struct((begin + x["m"]).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    return running(pairs, SPAN, F.lit(0), step)
+    return F.when(pairs.isNotNull(), running(pairs, SPAN, F.lit(0), step)).otherwise(F.array().cast(SPAN))
 
 
 def written(spans: Column) -> Column:
