@@ -31,7 +31,7 @@ NONE = np.iinfo(np.int32).max
 WIDEST = 256  # bytes; longer pre-tokens are merged one by one, by the same rule
 FINE, STEP = 32, 6  # up to so many bytes the lengths of a matrix's words differ by less than STEP
 CELLS = 1 << 20  # of a matrix
-KNOWN = 200_000  # pieces of text, and pre-tokens, whose ids a worker remembers, and as many before them
+KNOWN = 150_000  # pieces of text, and pre-tokens, whose ids a worker remembers, and as many before them
 TOKENS = 1 << 17  # decoded at a time
 BLOCK = 1 << 20  # characters of text in work at a time
 GATHERED = 1 << 22  # and where texts stay columns
@@ -343,7 +343,7 @@ def blocks(texts: pa.Array, characters: int = BLOCK) -> Iterator[tuple[int, list
 
 
 def encode(
-    df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", out: str = "ids", keep_text: bool = True, known: int = KNOWN // 4
+    df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", out: str = "ids", keep_text: bool = True, known: int = KNOWN // 3
 ) -> DataFrame:
     """``df`` with the token ids of each text as array<int> in ``out``.
 
