@@ -28,8 +28,7 @@ class Layouts:
     """Headers of the files under a path, in the order of their first files.
 
     ``lines`` are the first lines that a header is written as, ``files`` how many
-    files have it; ``table`` has (file, line) of every file and is only in the
-    checkpoint folder.
+    files have it; ``table`` has (file, line) of every file and is not fetched.
     """
 
     headers: list[tuple[str, ...]]
@@ -79,9 +78,7 @@ def csv_layouts(spark: SparkSession, path: str) -> Layouts:
 
     Files without any line have none. A header must not hold a line break.
     """
-    found = staging_path(spark, "layouts")
-    first_lines(spark, path).write.parquet(found)
-    table = spark.read.schema("file string, line string").parquet(found)
+    table = first_lines(spark, path)
     kinds = table.groupBy("line").agg(F.min("file").alias("first"), F.count("*").alias("files")).collect()
     by_header: dict[tuple[str, ...], list] = {}
     for kind in sorted(kinds, key=lambda k: k["first"]):
