@@ -4,7 +4,8 @@ A window without partition columns, or over one hot group, would put that
 whole group into one task. Here a group's size is looked up first; small
 groups take the plain window, larger ones are cut into range-partitioned
 slices that are staged once. Windows then run per slice, and only one summary
-row per slice is carried across.
+row per slice is carried across. Each slice costs a task, a file and a hundred
+sampled rows at the driver, so there are not many more of them than run at once.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from tablaris.sources.staging import stage
 
 # Rows of one group that a single window task may take.
 WINDOW_ROWS = 1_000_000
+# Slices that a table may have whatever its size; beyond, they grow up to WINDOW_ROWS first.
+SLICES = 256
 
 _SLICE = "_slice"
 
@@ -55,11 +58,20 @@ def total_order(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str]
     return [*order_by, *[c for c in df.columns if c not in fixed and not any(u in kinds[c] for u in unordered)]]
 
 
+def slice_count(rows: int, window_rows: int, partitions: int) -> int:
+    """Slices of ``window_rows`` rows, or of more, up to WINDOW_ROWS, where that would be too many.
+
+    Too many is over SLICES and over ``partitions``, the tasks of a shuffle.
+    """
+    enough = max(SLICES, partitions, math.ceil(rows / max(WINDOW_ROWS, window_rows)))
+    return max(2, min(math.ceil(rows / window_rows), enough))
+
+
 def _slices(
     df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], rows: int, window_rows: int
 ) -> DataFrame:
     """Staged copy cut into contiguous ranges of (group, order)."""
-    count = max(2, math.ceil(rows / window_rows))
+    count = slice_count(rows, window_rows, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = df.repartitionByRange(count, *group_by, *order_by)
     return stage(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
 

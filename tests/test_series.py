@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablaris.operators.dedup import drop_exact, ingest_order, keep_first
 from tablaris.operators.gapfill import fill_gaps, fill_gaps_per_entity, key_bounds
 from tablaris.operators.impute import impute
-from tablaris.operators.ordering import cut_by_rank, neighbours, row_positions, total_order
+from tablaris.operators.ordering import _slices, cut_by_rank, neighbours, row_positions, slice_count, total_order
 
 
 def physical(df):
@@ -125,6 +125,17 @@ def test_sliced_neighbours_without_groups(hot_groups):
     assert sorted(sliced, key=str) == sorted(plain, key=str)
 
 
+def test_slices_do_not_grow_with_the_rows_of_a_large_table(spark, hot_groups):
+    assert slice_count(60_000, 10_000, 200) == 6
+    assert slice_count(216_000_000, 10_000, 200) == slice_count(36_000_000, 500, 200) == 256
+    assert slice_count(36_000_000, 500, 1_000) == 1_000
+    assert slice_count(10**9, 500, 200) == slice_count(10**9, 1_000_000, 200) == 1_000
+    staged = _slices(hot_groups, [], ["id"], 3_000, 2)
+    held = staged.groupBy("_slice").agg(F.min("id").alias("first"), F.max("id").alias("last")).orderBy("_slice").collect()
+    assert 2 <= len(held) <= 256 and staged.count() == 3_000
+    assert all(a["last"] < b["first"] for a, b in zip(held, held[1:]))
+
+
 @pytest.mark.parametrize("group_by", [[], ["g"]])
 def test_sliced_positions_equal_the_plain_ones(hot_groups, group_by):
     plain = row_positions(hot_groups, ["o", "id"], group_by).collect()
