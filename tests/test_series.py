@@ -4,10 +4,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tablaris.operators import ordering
 from tablaris.operators.dedup import drop_exact, ingest_order, keep_first
 from tablaris.operators.gapfill import fill_gaps, fill_gaps_per_entity, key_bounds
 from tablaris.operators.impute import impute
 from tablaris.operators.ordering import _slices, cut_by_rank, neighbours, row_positions, slice_count, total_order
+from tablaris.sources.staging import stage
 
 
 def physical(df):
@@ -136,6 +138,16 @@ def test_slices_do_not_grow_with_the_rows_of_a_large_table(spark, hot_groups):
     assert all(a["last"] < b["first"] for a, b in zip(held, held[1:]))
 
 
+def test_tied_rows_in_many_small_slices(spark, monkeypatch):
+    rows = spark.range(2_500).select("id", (F.col("id") % 2).alias("g"), (F.col("id") % 5).alias("o"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("x"))
+    staged = []
+    monkeypatch.setattr(ordering, "stage", lambda df, label: staged.append(stage(df, label)) or staged[-1])
+    plain = impute(rows, ["x"], ["o"], ["g"])
+    sliced = impute(rows, ["x"], ["o"], ["g"], window_rows=2)
+    assert sorted(sliced.collect()) == sorted(plain.collect())
+    assert len(staged) == 1 and len(staged[0].inputFiles()) <= 256
+
+
 @pytest.mark.parametrize("group_by", [[], ["g"]])
 def test_sliced_positions_equal_the_plain_ones(hot_groups, group_by):
     plain = row_positions(hot_groups, ["o", "id"], group_by).collect()
