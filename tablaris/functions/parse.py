@@ -50,7 +50,11 @@ def parse_number(col: Column) -> Column:
 
     A text is a number as a whole or not at all: ``1d`` and ``2f`` are not.
     """
-    text = trimmed(col.cast("string"))
+    return parse_trimmed(trimmed(col.cast("string")))
+
+
+def parse_trimmed(text: Column) -> Column:
+    """:func:`parse_number` of a text without white space at its ends."""
     return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 

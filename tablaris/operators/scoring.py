@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablaris.functions.names import normalize_name
-from tablaris.functions.parse import is_finite, parse_number, trimmed
+from tablaris.functions.parse import is_finite, parse_trimmed, trimmed
 from tablaris.operators.conform import column_sources
 from tablaris.operators.regression import LinearModel, predict
 from tablaris.sources.staging import stage
@@ -137,9 +137,14 @@ def catalogue(spark: SparkSession, exercises: Sequence[Exercise]) -> DataFrame:
 CATALOGUE = "exercise string, title string, model string, target string, display string, fields array<struct<name: string, label: string>>"
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _normalized(names: pd.Series) -> pd.Series:
-    return names.map(lambda own: None if own is None else [None if n is None else normalize_name(n) for n in own])
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _normalized(names: pa.Array) -> pa.Array:
+    """Lists of names, each distinct name of a batch normalized once."""
+    flat = names.flatten().dictionary_encode()
+    plain = pa.array([None if n is None else normalize_name(n) for n in flat.dictionary.to_pylist()], pa.string())
+    ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(names), 0))
+    offsets = pa.concat_arrays([pa.array([0], ends.type), ends])
+    return pa.ListArray.from_arrays(offsets.cast(pa.int32()), plain.take(flat.indices), mask=names.is_null())
 
 
 def model_lookup(exercises: DataFrame, models: DataFrame, messages: Messages) -> DataFrame:
@@ -204,48 +209,51 @@ def score_with_models(
     """:func:`score_requests` with exercises and models as tables, of any size.
 
     ``exercises`` has the columns of :func:`catalogue`, ``models`` those of stored
-    models. An exercise named by more than one request in ``salts`` (there are
-    fewer than that many, found by one aggregate) is spread over as many keys.
+    models. Exercises named by more than one request in ``salts`` (there are fewer
+    than that many, found by one aggregate) are looked up apart from the others, in
+    a staged table of a few rows: their requests are not shuffled where Spark may
+    broadcast it, and spread over as many keys where not. ``requests`` is read once
+    for the counts and once for each of the two kinds.
     """
     texts = messages or Messages()
     lookup = model_lookup(exercises, models, texts)
     hashed = [f.name for f in requests.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant", "interval"))]
-    counts = requests.groupBy(trimmed(F.col("exercise")).alias("exercise")).agg(F.count(F.lit(1)).alias("n"))
+    asked = trimmed(F.col("exercise"))
+    counts = requests.groupBy(asked.alias("exercise")).agg(F.count(F.lit(1)).alias("n"))
     counts = stage(counts, "asked")
     total = counts.agg(F.sum("n")).first()[0] or 0
     hot = [r["exercise"] for r in counts.where((F.col("n") * salts > total) & F.col("exercise").isNotNull()).collect()]
     if not hot:
         return _answers(requests, lookup, texts)
-    spread = F.col("exercise").isin(hot)
-    lookup = lookup.withColumn("_salt", F.explode(F.when(spread, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    salt = F.when(trimmed(F.col("exercise")).isin(hot), F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")).otherwise(0)
-    return _answers(requests, lookup, texts, salt)
+    named = exercises.where(F.col("exercise").isin(hot))
+    names = [r["model"] for r in named.select("model").distinct().limit(salts + 1).collect()]
+    # By name the scan finds their models; only a table that repeats exercises can have more names than this.
+    few = model_lookup(named, models.where(F.col("model").isin(names)) if len(names) <= salts else models, texts)
+    few = stage(few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), "hot-lookup")
+    is_hot = F.coalesce(asked.isin(hot), F.lit(False))
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
+    return _answers(requests.where(is_hot), few, texts, salt).unionByName(_answers(requests.where(~is_hot), lookup, texts))
 
 
 def _answers(requests: DataFrame, lookup: DataFrame, texts: Messages, salt: Column | None = None) -> DataFrame:
-    lookup = lookup.withColumnRenamed("fields", "form")
+    # What is the same for all requests of an exercise is done in the lookup: a term's field becomes its place in the form.
+    lookup = lookup.withColumnRenamed("fields", "form").withColumn("names", F.transform("form", lambda f: f["name"]))
+    place = F.transform("terms", lambda t: F.struct((F.array_position("names", t["field"]).cast("int") - 1).alias("at"), t["coefficient"].alias("coefficient")))
+    lookup = lookup.withColumn("terms", place)
     asked = requests.withColumns({"exercise": trimmed(F.col("exercise")), **({} if salt is None else {"_salt": salt})})
     joined = asked.join(lookup, "exercise" if salt is None else ["exercise", "_salt"], "left")
 
-    def given(name: Column) -> Column:
-        return trimmed(F.coalesce(F.try_element_at("fields", name), F.lit("")))
-
-    def field_error(f: Column) -> Column:
-        text = given(f["name"])
-        return F.when(text == "", _message(texts.empty, f["label"])).when(
-            parse_number(text).isNull(), _message(texts.not_numeric, f["label"])
-        )
-
-    field_errors = F.filter(F.transform("form", field_error), lambda e: e.isNotNull())
-    terms = F.transform(
-        "terms", lambda t: parse_number(given(t["field"])) * t["coefficient"]
-    )
-    value = F.aggregate(terms, F.col("intercept"), lambda total, part: total + part)
+    # Each value is trimmed and read once; labels are looked at only where one is bad.
+    joined = joined.withColumn("texts", F.transform("names", lambda name: trimmed(F.coalesce(F.try_element_at("fields", name), F.lit("")))))
+    joined = joined.withColumn("numbers", F.transform("texts", parse_trimmed))
+    unread = F.transform("numbers", lambda n, i: n.isNull() & F.get("form", i)["label"].isNotNull())
+    bad = F.array_position(unread, True).cast("int") - 1
+    label = F.get("form", bad)["label"]
+    wrong = F.when(F.get("texts", bad) == "", _message(texts.empty, label)).otherwise(_message(texts.not_numeric, label))
+    field_error = F.when(F.exists("numbers", lambda n: n.isNull()), wrong)
+    value = F.aggregate("terms", F.col("intercept"), lambda total, t: total + F.get("numbers", t["at"]) * t["coefficient"])
     checked = joined.withColumn(
-        "error",
-        F.when(F.col("form").isNull(), texts.unknown).otherwise(
-            F.coalesce(F.try_element_at(field_errors, F.lit(1)), "problem")
-        ),
+        "error", F.when(F.col("form").isNull(), texts.unknown).otherwise(F.coalesce(field_error, "problem"))
     ).withColumn("value", F.when(F.col("error").isNull(), value))
     failed = F.col("error").isNull() & ~is_finite(F.col("value"))
     error = F.when(failed, _message(texts.failed, F.col("value").cast("string"))).otherwise(

@@ -119,3 +119,41 @@ def test_a_hot_exercise_is_spread_over_keys(spark):
         assert out.where("error IS NULL").count() == 200
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_requests_of_a_hot_exercise_are_not_shuffled(spark):
+    asked = mixed_requests(spark, 300).cache()
+    assert asked.count() == 309
+    out = scoring.score_with_models(asked, scoring.catalogue(spark, EXERCISES), store.packed(spark, list(MODELS.values())), MESSAGES)
+    out = out.where("exercise = 'dolar'").select("request_id", "error", "value")
+    moved = 0
+    plan = out._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() in ("AdaptiveSparkPlan", "ShuffleQueryStage", "BroadcastQueryStage"):
+            stack.append(node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.plan())
+        if node.nodeName() == "Exchange":
+            moved += node.metrics().apply("shuffleRecordsWritten").value()
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+    assert moved < 300
+    assert out.where("error IS NULL").count() == 300
+    asked.unpersist()
+
+
+def test_first_bad_field_with_a_label_is_named(spark):
+    forms = [("e", "Title", "m", "t", "d", [("a", None), ("b", "B"), ("c", "C"), (None, "N")])]
+    models = store.packed(spark, [LinearModel(("a", "c", "x"), "", 1.0, (2.0, 3.0, 4.0), "m")])
+    exercises = spark.createDataFrame(forms, scoring.CATALOGUE)
+    rows = [(1, "e", {"a": "", "b": "x", "c": ""}), (2, "e", {"a": "1", "b": "2", "c": " "}), (3, "e", {"a": "1", "b": "2", "c": "3"}), (4, None, {})]
+    got = scoring.score_with_models(spark.createDataFrame(rows, SCHEMA), exercises, models).orderBy("request_id").collect()
+    texts = scoring.Messages()
+    assert [r["error"] for r in got] == [texts.not_numeric.format("B"), texts.empty.format("C"), texts.empty.format("N"), texts.unknown]
+
+
+def test_names_are_normalized_once_a_batch(spark):
+    rows = [(1, ["Täx ", None, "Quantity"]), (2, None), (3, []), (4, ["Quantity"]), (5, [None])]
+    df = spark.createDataFrame(rows, "id int, names array<string>").coalesce(1)
+    got = {r["id"]: r["n"] for r in df.select("id", scoring._normalized("names").alias("n")).collect()}
+    assert got == {1: ["tax", None, "quantity"], 2: None, 3: [], 4: ["quantity"], 5: [None]}
