@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ BLOCK = 32  # bytes that an anchor is chosen by; a power of two
 RUN = 50_000  # suffixes sorted at a time
 HOT = 100_000  # anchors of one block beyond which its strings are matched by digest
 TEXT = 1 << 20  # characters in work at a time
+PIECE = 1 << 16  # bytes whose anchors are found at a time; the arrays for them stay in the processor's cache
 MULTIPLIER = 0x9E3779B97F4A7C55
 
 
@@ -77,6 +79,14 @@ def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np
     return text, at - starts[text], hashes[at]
 
 
+def anchors_by_piece(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`anchors`, whole texts of about PIECE bytes together at a time."""
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum([len(t) for t in texts]) // PIECE)) + 1).tolist(), len(texts)]
+    found = [(a, anchors(texts[a:b], length)) for a, b in zip(cuts, cuts[1:])]
+    which, place, block = (np.concatenate(x) for x in zip(*[(text + a, at, h) for a, (text, at, h) in found]))
+    return which, place, block
+
+
 def common_prefix(rows: np.ndarray) -> np.ndarray:
     """Bytes that each row of a matrix shares with the row before; 0 for the first."""
     if not len(rows):
@@ -174,24 +184,37 @@ def repeats(order: np.ndarray, lcps: np.ndarray, left: np.ndarray, spare: np.nda
     """
     count, reach = left.shape
     rank = np.lexsort(owner.T[::-1])
-    who = np.empty(count, np.int64)  # equal for rows that are one document
-    who[rank] = np.cumsum(np.concatenate([[0], (owner[rank][1:] != owner[rank][:-1]).any(axis=1)]))
+    who = np.cumsum(np.concatenate([[0], (owner[rank][1:] != owner[rank][:-1]).any(axis=1)]))  # equal for rows that are one document
     back = in_order(left)
     back_lcp = common_prefix(left[back])
-    out = np.zeros((count, reach + 1), dtype=bool)
-    forth, backward = np.empty(count, np.int64), np.empty(count, np.int64)
+    # From here on suffixes go by rank, so that the first of a group started earliest.
+    forth_at, back_at = np.empty(count, np.int64), np.empty(count, np.int64)
+    forth_at[order], back_at[back] = np.arange(count), np.arange(count)
+    forth_at, back_at, before, after = forth_at[rank], back_at[rank], spare[rank, 0], spare[rank, 1]
+    out = np.zeros((reach + 1, count), dtype=bool)
     for o in range(reach + 1):
-        forth[order] = np.cumsum(lcps < length - o)
-        backward[back] = np.cumsum(back_lcp < o)
-        own = rank[(spare[rank, 0] >= o) & (spare[rank, 1] >= length - o)]
-        size = np.bincount(forth[own], minlength=1)
-        own = own[size[forth[own]] > 1]
-        key = forth[own] * (count + 1) + backward[own]
-        by_key = np.argsort(key, kind="stable")
-        sorted_key, sorted_own = key[by_key], own[by_key]
+        own = np.flatnonzero((before >= o) & (after >= length - o))
+        forth = np.cumsum(lcps < length - o, dtype=np.int32)[forth_at[own]]
+        backward = np.cumsum(back_lcp < o, dtype=np.int32)[back_at[own]]
+        paired = (np.bincount(forth, minlength=1)[forth] > 1) & (np.bincount(backward, minlength=1)[backward] > 1)
+        own, key = own[paired], forth[paired].astype(np.int64) * (count + 1) + backward[paired]
+        sorted_key, by_key = sorted_groups(key, count)
         first = np.maximum.accumulate(np.where(np.diff(sorted_key, prepend=-1) != 0, np.arange(len(own)), 0))
-        out[sorted_own, o] = who[sorted_own] != who[sorted_own[first]]
-    return out
+        sorted_own = own[by_key]
+        out[o, rank[sorted_own]] = who[sorted_own] != who[sorted_own[first]]
+    return np.ascontiguousarray(out.T)
+
+
+def sorted_groups(key: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys below (count + 1) squared in order, and where each was; equal ones stay in their order.
+
+    Key and place are sorted as one number where they fit in it, which takes far less time.
+    """
+    if count >= 1 << 20:
+        by_key = np.argsort(key, kind="stable")
+        return key[by_key], by_key
+    both = np.sort(key << 20 | np.arange(len(key)))
+    return both >> 20, both & ((1 << 20) - 1)
 
 
 def spans_of(repeated: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,6 +262,25 @@ def common_strings(context: np.ndarray, spare: np.ndarray, owner: np.ndarray, le
     return removed, (opened[:, 0], opened[:, 1], opened[:, 2], opened[:, 2] + length, opened[:, 3], opened[:, 4])
 
 
+def listed(lists: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where each row's list of structs begins among all of them (null: empty), with the end, and their fields."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), [f.to_numpy(zero_copy_only=False) for f in lists.flatten().flatten()]
+
+
+def merged_spans(ends: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each row, as of :func:`listed`, in order and joined where they overlap or touch."""
+    count = len(ends) - 1
+    row = np.repeat(np.arange(count), np.diff(ends))
+    far = row << 40  # rows lie apart, as no text has so many bytes
+    by_start = np.argsort(starts + far, kind="stable")
+    row, first, reached = row[by_start], (starts + far)[by_start], np.maximum.accumulate((stops + far)[by_start])
+    begin = np.flatnonzero(np.concatenate([[True], first[1:] > reached[:-1]])) if len(row) else np.zeros(0, np.int64)
+    last = np.append(begin[1:], len(row))[: len(begin)] - 1
+    far = row[begin] << 40
+    return np.concatenate([[0], np.cumsum(np.bincount(row[begin], minlength=count))]).astype(np.int64), first[begin] - far, reached[last] - far
+
+
 SPAN = "id long, hash long, start long, end long, d1 long, d2 long"
 SPANS = [c.split(" ")[0] for c in SPAN.split(", ")]
 LAST = (1 << 63) - 1
@@ -261,7 +303,7 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in blocks(batch.column("text"), TEXT):
-                which, place, block = anchors([t.encode() for t in texts], length)
+                which, place, block = anchors_by_piece([t.encode() for t in texts], length)
                 owner = np.stack([batch.column(c).slice(at, len(texts)).to_numpy()[which] for c in ("id", "hash")] + [place], axis=1)
                 # Of a block's anchors here one row is made, so a common one is not many rows.
                 _, first, same, n = np.unique(block, return_index=True, return_inverse=True, return_counts=True)
@@ -311,15 +353,16 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["part", "run"])
 
         for batch in batches:
-            for row in batch.to_pylist():
-                data = np.frombuffer(unpack.decompress(row["packed"]), np.uint8)
-                place = np.array([a["place"] for a in row["at"]])
+            ends, (places, at_blocks, hots) = listed(batch.column("at"))
+            ids, hashes = (batch.column(c).to_numpy() for c in ("id", "hash"))
+            for i, packed in enumerate(batch.column("packed").to_pylist()):
+                data, own = np.frombuffer(unpack.decompress(packed), np.uint8), slice(ends[i], ends[i + 1])
+                place = places[own]
                 padded = np.concatenate([np.zeros(reach, np.uint8), data, np.zeros(length, np.uint8)])
                 context = padded[place[:, None] + np.arange(reach + length)]
                 spare = np.stack([np.minimum(place, reach), np.minimum(len(data) - place, length)], axis=1).astype(np.int16)
-                owner = np.stack([np.full(len(place), row["id"]), np.full(len(place), row["hash"]), place], axis=1)
-                part = np.array([a["block"] for a in row["at"]]) % parts
-                waiting.append((context[:, reach:], context[:, reach - 1 :: -1] if reach else context[:, :0], spare, owner, part, np.array([a["hot"] for a in row["at"]])))
+                owner = np.stack([np.full(len(place), ids[i]), np.full(len(place), hashes[i]), place], axis=1)
+                waiting.append((context[:, reach:], context[:, reach - 1 :: -1] if reach else context[:, :0], spare, owner, at_blocks[own] % parts, hots[own]))
                 many += len(place)
                 if many >= RUN:
                     yield from runs()
@@ -371,20 +414,16 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            kept, spans, sizes = [], [], []
-            for packed, removed in zip(batch.column("packed").to_pylist(), batch.column("spans").to_pylist()):
-                data, merged = unpack.decompress(packed), []
-                for x in sorted(removed or [], key=lambda x: x["start"]):
-                    if merged and x["start"] <= merged[-1]["end"]:
-                        merged[-1]["end"] = max(merged[-1]["end"], x["end"])
-                    else:
-                        merged.append(dict(x))
-                edges = [0, *[e for x in merged for e in (x["start"], x["end"])], len(data)]
-                kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
-                spans.append(merged)
+            edges, (starts, stops) = listed(batch.column("spans"))
+            ends, starts, stops = merged_spans(edges, starts, stops)
+            kept, sizes = [], []
+            for i, packed in enumerate(batch.column("packed").to_pylist()):
+                data, own = unpack.decompress(packed), slice(ends[i], ends[i + 1])
+                kept.append(b"".join(data[a:b] for a, b in zip([0, *stops[own].tolist()], [*starts[own].tolist(), len(data)])))
                 sizes.append(len(data))
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("given"), pa.array(kept, pa.binary()), pa.array(spans, kind), pa.array(sizes, pa.int64())], [id_col, "kept", "spans", "n_bytes"])
+            pairs = pa.StructArray.from_arrays([pa.array(starts, pa.int64()), pa.array(stops, pa.int64())], ["start", "end"])
+            spans = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+            yield pa.RecordBatch.from_arrays([batch.column("given"), pa.array(kept, pa.binary()), spans, pa.array(sizes, pa.int64())], [id_col, "kept", "spans", "n_bytes"])
 
     whole = small.join(removed, ["id", "hash"], "left").select("given", "packed", "spans")
     kind = df.schema[id_col].dataType.simpleString()

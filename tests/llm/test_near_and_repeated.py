@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,3 +233,31 @@ def test_rare_pairs_are_audited(spark):
     out = embedding_dedup.near_embeddings(df, shard_size=6000, least_shards=1, beam=4)
     found = out.selectExpr("sum(n_links)").first()[0]
     assert true >= 3000 and 0.98 * true <= found <= true
+
+
+def test_anchors_do_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(8)
+    texts = [bytes(rng.choices(b"ab", k=rng.choice([0, 5, 99, 100, 101, 400, 2_000]))) for _ in range(60)]
+    whole = suffix_dedup.anchors(texts, 100)
+    for piece in (1, 300, 5_000, 1 << 20):
+        monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+        assert all((a == b).all() for a, b in zip(suffix_dedup.anchors_by_piece(texts, 100), whole))
+
+
+@pytest.mark.parametrize("count", [3, 1 << 20])
+def test_groups_are_sorted_stably(count):
+    keys = np.array([5, 3, 5, 0, 3, 5, (count + 1) ** 2 - 1], np.int64)
+    ordered, at = suffix_dedup.sorted_groups(keys, count)
+    assert at.tolist() == [3, 1, 4, 0, 2, 5, 6] and (ordered == keys[at]).all()
+
+
+def test_spans_are_merged_row_by_row():
+    spans = [[(5, 9), (0, 2), (2, 4), (6, 7)], None, [(0, 3)], [], [(1, 2), (1, 5), (7, 8)]]
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    lists = pa.array([None if r is None else [{"start": a, "end": b} for a, b in r] for r in spans], kind)
+    ends, (starts, stops) = suffix_dedup.listed(lists)
+    ends, starts, stops = suffix_dedup.merged_spans(ends, starts, stops)
+    rows = [list(zip(starts[a:b].tolist(), stops[a:b].tolist())) for a, b in zip(ends, ends[1:])]
+    assert rows == [[(0, 4), (5, 9)], [], [(0, 3)], [], [(1, 5), (7, 8)]]
+    ends, starts, stops = suffix_dedup.merged_spans(*(lambda e, f: (e, *f))(*suffix_dedup.listed(pa.array([None], kind))))
+    assert ends.tolist() == [0, 0] and not len(starts) and not len(stops)
