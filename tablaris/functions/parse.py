@@ -22,8 +22,16 @@ WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *r
 
 
 def trimmed(text: Column) -> Column:
-    """Without white space of any kind at the ends; linear, unlike a pattern tied to the end."""
-    return F.btrim(text, F.lit(WHITE_SPACE))
+    """Without white space of any kind at the ends; linear, unlike a pattern tied to the end.
+
+    Spaces go first. The rest is looked for only where an end is not a visible ASCII character.
+    """
+    bare = F.trim(text)
+    return F.when(_visible(F.substring(bare, 1, 1)) & _visible(F.substring(bare, -1, 1)), bare).otherwise(F.btrim(bare, F.lit(WHITE_SPACE)))
+
+
+def _visible(letter: Column) -> Column:
+    return letter.between("!", "~")
 
 
 def clean_text(col: Column, decimal_comma: bool) -> Column:

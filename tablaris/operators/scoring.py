@@ -157,15 +157,14 @@ def model_lookup(exercises: DataFrame, models: DataFrame, messages: Messages) ->
     known = models.select("model", F.col("target").alias("m_target"), F.col("display").alias("m_display"), "intercept", "terms")
     joined = exercises.join(known, "model", "left").select(
         "*",
-        _normalized(F.transform("fields", lambda f: f["name"])).alias("f_plain"),
+        _normalized(F.reverse(F.transform("fields", lambda f: f["name"]))).alias("f_plain"),
         _normalized(F.transform("terms", lambda t: t["term"])).alias("t_plain"),
     )
-    names, plain = F.reverse(F.transform("fields", lambda f: f["name"])), F.reverse("f_plain")
+    # f_plain runs backwards, so its first match is the last field; no match gives a place beyond the end.
+    place = lambda i: F.size("fields") - F.array_position("f_plain", F.get("t_plain", i)).cast("int")
     bound = F.transform(
         "terms",
-        lambda t, i: F.struct(
-            F.get(names, F.array_position(plain, F.get("t_plain", i)).cast("int") - 1).alias("field"), t["coefficient"].alias("coefficient"), t["term"].alias("term")
-        ),
+        lambda t, i: F.struct(F.get("fields", place(i))["name"].alias("field"), t["coefficient"].alias("coefficient"), t["term"].alias("term")),
     )
     joined = joined.withColumn("bound", bound)
     lost = F.transform(F.filter("bound", lambda b: b["field"].isNull()), lambda b: b["term"])
@@ -213,16 +212,18 @@ def score_with_models(
     than that many, found by one aggregate) are looked up apart from the others, in
     a staged table of a few rows: their requests are not shuffled where Spark may
     broadcast it, and spread over as many keys where not. ``requests`` is read once
-    for the counts and once for each of the two kinds.
+    for the counts and once for each of the two kinds. Only exercises that the counts
+    name meet their models.
     """
     texts = messages or Messages()
-    lookup = model_lookup(exercises, models, texts)
     hashed = [f.name for f in requests.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant", "interval"))]
     asked = trimmed(F.col("exercise"))
     counts = requests.groupBy(asked.alias("exercise")).agg(F.count(F.lit(1)).alias("n"))
     counts = stage(counts, "asked")
     total = counts.agg(F.sum("n")).first()[0] or 0
     hot = [r["exercise"] for r in counts.where((F.col("n") * salts > total) & F.col("exercise").isNotNull()).collect()]
+    others = counts.where(~F.col("exercise").isin(hot)) if hot else counts
+    lookup = model_lookup(exercises.join(others, "exercise", "left_semi"), models, texts)
     if not hot:
         return _answers(requests, lookup, texts)
     named = exercises.where(F.col("exercise").isin(hot))
@@ -230,31 +231,38 @@ def score_with_models(
     # By name the scan finds their models; only a table that repeats exercises can have more names than this.
     few = model_lookup(named, models.where(F.col("model").isin(names)) if len(names) <= salts else models, texts)
     few = stage(few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), "hot-lookup")
-    is_hot = F.coalesce(asked.isin(hot), F.lit(False))
+    # A filter computes its text anew wherever it is named, so most requests are known by their first comparison.
+    is_hot = F.coalesce(F.trim("exercise").isin(hot) | asked.isin(hot), F.lit(False))
     salt = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
     return _answers(requests.where(is_hot), few, texts, salt).unionByName(_answers(requests.where(~is_hot), lookup, texts))
 
 
+def _number(text: Column) -> Column:
+    """The number in a text without spaces at its ends; only one that is none as it stands is trimmed of other white space."""
+    return F.coalesce(parse_trimmed(text), parse_trimmed(trimmed(text)))
+
+
 def _answers(requests: DataFrame, lookup: DataFrame, texts: Messages, salt: Column | None = None) -> DataFrame:
     # What is the same for all requests of an exercise is done in the lookup: a term's field becomes its place in the form.
-    lookup = lookup.withColumnRenamed("fields", "form").withColumn("names", F.transform("form", lambda f: f["name"]))
-    place = F.transform("terms", lambda t: F.struct((F.array_position("names", t["field"]).cast("int") - 1).alias("at"), t["coefficient"].alias("coefficient")))
+    lookup = lookup.withColumnRenamed("fields", "form")
+    names = F.transform("form", lambda f: f["name"])
+    place = F.transform("terms", lambda t: F.struct((F.array_position(names, t["field"]).cast("int") - 1).alias("at"), t["coefficient"].alias("coefficient")))
     lookup = lookup.withColumn("terms", place)
     asked = requests.withColumns({"exercise": trimmed(F.col("exercise")), **({} if salt is None else {"_salt": salt})})
     joined = asked.join(lookup, "exercise" if salt is None else ["exercise", "_salt"], "left")
 
-    # Each value is trimmed and read once; labels are looked at only where one is bad.
-    joined = joined.withColumn("texts", F.transform("names", lambda name: trimmed(F.coalesce(F.try_element_at("fields", name), F.lit("")))))
-    joined = joined.withColumn("numbers", F.transform("texts", parse_trimmed))
+    # Each value is read once; what is wrong with one is looked at only where one is bad.
+    given = F.transform("form", lambda f: F.trim(F.try_element_at("fields", f["name"])))
+    joined = joined.withColumn("numbers", F.transform(given, _number))
     unread = F.transform("numbers", lambda n, i: n.isNull() & F.get("form", i)["label"].isNotNull())
-    bad = F.array_position(unread, True).cast("int") - 1
-    label = F.get("form", bad)["label"]
-    wrong = F.when(F.get("texts", bad) == "", _message(texts.empty, label)).otherwise(_message(texts.not_numeric, label))
+    first = F.get("form", F.array_position(unread, True).cast("int") - 1)
+    text = trimmed(F.coalesce(F.try_element_at("fields", first["name"]), F.lit("")))
+    wrong = F.when(text == "", _message(texts.empty, first["label"])).otherwise(_message(texts.not_numeric, first["label"]))
     field_error = F.when(F.exists("numbers", lambda n: n.isNull()), wrong)
     value = F.aggregate("terms", F.col("intercept"), lambda total, t: total + F.get("numbers", t["at"]) * t["coefficient"])
-    checked = joined.withColumn(
-        "error", F.when(F.col("form").isNull(), texts.unknown).otherwise(F.coalesce(field_error, "problem"))
-    ).withColumn("value", F.when(F.col("error").isNull(), value))
+    checked = joined.withColumns(
+        {"error": F.when(F.col("form").isNull(), texts.unknown).otherwise(F.coalesce(field_error, "problem")), "value": value}
+    ).withColumn("value", F.when(F.col("error").isNull(), F.col("value")))
     failed = F.col("error").isNull() & ~is_finite(F.col("value"))
     error = F.when(failed, _message(texts.failed, F.col("value").cast("string"))).otherwise(
         F.col("error")

@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tablaris.functions.parse import trimmed
 from tablaris.operators import scoring
 from tablaris.operators.regression import LinearModel, fit
 from tablaris.plans.presets import EXERCISES, MESSAGES
@@ -157,3 +158,39 @@ def test_names_are_normalized_once_a_batch(spark):
     df = spark.createDataFrame(rows, "id int, names array<string>").coalesce(1)
     got = {r["id"]: r["n"] for r in df.select("id", scoring._normalized("names").alias("n")).collect()}
     assert got == {1: ["tax", None, "quantity"], 2: None, 3: [], 4: ["quantity"], 5: [None]}
+
+
+def test_only_exercises_that_are_asked_meet_their_models(spark):
+    rows = [(f"e{i}", "Title", f"m{i}", "t", "d", [("a", "A")]) for i in range(300)]
+    exercises = spark.createDataFrame(rows, scoring.CATALOGUE)
+    models = store.packed(spark, [LinearModel(("a",), "", float(i), (1.0,), f"m{i}") for i in range(300)])
+    asked = spark.createDataFrame([(i, f" e{i}\t", {"a": "1"}) for i in (1, 2, 3, 400)], SCHEMA)
+    out = scoring.score_with_models(asked, exercises, models, salts=4)
+    plan = out._jdf.queryExecution().executedPlan()
+    got = out.orderBy("request_id").collect()
+    assert [(r["value"], r["error"]) for r in got] == [(2.0, None), (3.0, None), (4.0, None), (None, scoring.Messages().unknown)]
+    plan.execute().count()
+    stack, bound = [plan], []
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            stack.append(node.plan())
+        if node.nodeName() == "ArrowEvalPython":
+            bound.append(node.metrics().apply("pythonNumRowsReceived").value())
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+    assert bound and max(bound) <= 4
+
+
+def test_white_space_of_any_kind_around_names_and_values(spark):
+    texts = [" 1", "1 ", "  1 \t", "\x0b1\x85", "　", " \t ", "1 1", "​1", "é", "~", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["x"] for r in df.orderBy("i").select(trimmed("t").alias("x")).collect()]
+    assert got == ["1", "1", "1", "1", "", "", "1 1", "​1", "é", "~", "", None]
+    asked = df.select(F.col("i").alias("request_id"), F.concat(F.lit("  e "), F.lit("\n")).alias("exercise"), F.create_map(F.lit("a"), "t").alias("fields"))
+    exercises = spark.createDataFrame([("e", "T", "m", "t", "d", [("a", "A")])], scoring.CATALOGUE)
+    models = store.packed(spark, [LinearModel(("a",), "", 1.0, (1.0,), "m")])
+    errors = [r["error"] for r in scoring.score_with_models(asked, exercises, models).orderBy("request_id").collect()]
+    empty, wrong = "Field 'A' is required.", "Field 'A' must be numeric."
+    assert errors == [None] * 4 + [empty] * 2 + [wrong] * 4 + [empty] * 2
